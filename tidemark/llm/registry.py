@@ -6,6 +6,9 @@ import importlib
 
 #: Query name to module.  Each module has ``query`` and, where SQL can express it, ``SQL``.
 MODULES = {
+    "op3_token_counts": "token_counts",
+    "op8_url_filter": "url_filter",
+    "op10_sharding": "sharding",
     "op1_sentencepiece": "sentencepiece_scan",
     "op6_warc": "warc",
     "op2_near_dedup": "near_dedup",
