@@ -6,6 +6,7 @@ import importlib
 
 #: Query name to module.  Each module has ``query`` and, where SQL can express it, ``SQL``.
 MODULES = {
+    "op4_html_extraction": "html_extraction",
     "op7_secret_scan": "secret_scan",
     "op3_token_counts": "token_counts",
     "op8_url_filter": "url_filter",
