@@ -1,0 +1,405 @@
+"""Small cases for every operator: nulls, empty and repeated rows, ties, empty tables, clashing columns."""
+
+import base64
+import hashlib
+import html
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    decontamination,
+    html_extraction,
+    near_dedup,
+    quality_rules,
+    secret_scan,
+    sentencepiece_scan,
+    sharding,
+    token_counts,
+    url_filter,
+    warc,
+)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns named like the operators' own.
+CLASH = "key id n h p a b w x cell rep ids win k_id k_hash fail_bits component own address score depth start".split()
+
+
+def clash(df):
+    return df.withColumns({c: F.lit(1) for c in CLASH})
+
+
+
+def docs(spark, texts, first=0):
+    rows = [(first + i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+
+
+EDGE = [None, "", " \n\t ", "one", "A b  c", "x " * 3000, "ünï cödé 漢字 🙂\n\nline\n"]
+
+
+def edge(spark):
+    """Odd texts, a repeated row, a null id, and clashing columns."""
+    d = docs(spark, EDGE)
+    return d.unionByName(d.where("doc_id = 4")).unionByName(d.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long"))).transform(clash)
+
+
+RUNS = {
+    "quality": lambda d: quality_rules.ledger(d),
+    "near_dedup": lambda d: near_dedup.near_components(d),
+    "decontamination": lambda d: decontamination.judged(d, d.select(F.col("doc_id").alias("item_id"), "text")),
+    "secrets": lambda d: secret_scan.redact(d),
+    "findings": lambda d: secret_scan.findings(d),
+    "sentencepiece": lambda d: sentencepiece_scan.encode(d, giant=1000, chunk=500),
+    "tokens": lambda d: token_counts.section_counts(d),
+    "sharding": lambda d: sharding.assign(d, 100),
+}
+ONE_EACH = {"quality", "near_dedup", "decontamination", "secrets", "sentencepiece", "sharding"}
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_odd_and_empty_tables(spark, name):
+    n = RUNS[name](edge(spark)).count()
+    assert n == len(EDGE) + 2 if name in ONE_EACH else n >= 0
+    assert RUNS[name](edge(spark).limit(0)).count() == 0
+
+
+def brute_quality(t):
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]
+    wins = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    hit = {i + k for i, w in enumerate(wins) if wins.count(w) > 1 for k in range(5)}
+    lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(hit)
+
+
+def test_quality_against_brute_force(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice(["a", "b", "c#", "d\n", "é|"]) for _ in range(rng.randint(0, 60))) for _ in range(60)] + EDGE[:5]
+    led = quality_rules.ledger(docs(spark, texts))
+    got = {r["doc_id"]: tuple(r[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")) for r in led.collect()}
+    assert got == {i: brute_quality(t) for i, t in enumerate(texts)}
+
+
+def test_quality_policies_and_ablation(spark):
+    good = " ".join(f"word{i}" for i in range(30))
+    d = docs(spark, [good, "too short", good.upper(), good + " #$%&" * 4, None]).transform(clash)
+    kept = quality_rules.apply_policy(d)
+    assert kept.columns == d.columns and [r["doc_id"] for r in kept.collect()] == [0]
+    assert quality_rules.apply_policy(d, quality_rules.BASE).count() == 3
+    led = quality_rules.ledger(d)
+    rows = {(r["policy"], r["rule"]): r for r in quality_rules.ablation(led).collect()}
+    r = rows["base-1", "few_words"]
+    assert (r["n_failed"], r["n_failed_only"], r["n_kept"], r["n_kept_without"]) == (2, 2, 3, 5)
+
+
+def shingles(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    return frozenset(zip(w, w[1:])) or frozenset((x,) for x in w)
+
+
+def brute_components(texts):
+    sets = list(map(shingles, texts))
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: (len(s), root(i)) for i, s in enumerate(sets)}
+
+
+def test_near_duplicates_against_brute_force(spark):
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(400)]
+    texts = [None, "", "one", "ONE", "one two"]
+    for size, copies, change in ((120, 40, 0.12), (60, 25, 0.05), (300, 20, 0.1), (8, 6, 0.1), (150, 30, 0.2)):
+        base = [rng.choice(vocab) for _ in range(size)]
+        for _ in range(copies):
+            p = rng.random() * change
+            texts.append(" ".join(rng.choice(vocab) if rng.random() < p else w for w in base))
+        texts.append(" ".join(base))
+    texts += texts[5:10]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_components(docs(spark, texts)).collect()}
+    assert got == brute_components(texts)
+
+
+def test_one_of_each_group_stays(spark):
+    base = " ".join(f"w{i}" for i in range(50))
+    d = docs(spark, [base, base.upper(), base + " more", "other words here", None, None])
+    d = d.unionByName(d.where("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")))
+    kept = near_dedup.keep_one(d)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 0), (False, 3), (False, 4), (False, 5), (True, 0)]
+    assert kept.columns == d.columns
+
+
+def test_signature_fills_all_bins():
+    edges, probes = near_dedup._edges(near_dedup.BINS), near_dedup._probes(near_dedup.BINS)
+    seen = near_dedup._Words()
+    for text in (b"a", b"a b c", b" ".join(b"%d" % i for i in range(500))):
+        s = near_dedup.shingle_set(text, seen)
+        sig = near_dedup.signature(s, edges, probes)
+        assert len(sig) == near_dedup.BINS and set(sig.tolist()) <= set(s.tolist())
+    agree = []
+    for k in range(30):
+        a = near_dedup.shingle_set(" ".join(f"{k}-{i}" for i in range(100)).encode(), seen)
+        b = near_dedup.shingle_set(" ".join(f"{k}-{i}" for i in range(10, 110)).encode(), seen)
+        j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        agree.append((near_dedup.signature(a, edges, probes) == near_dedup.signature(b, edges, probes)).mean() - j)
+    assert abs(np.mean(agree)) < 0.03
+
+
+NORM = str.maketrans(decontamination.UPPER, decontamination.LOWER)
+
+
+def brute_hits(text, bench):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(NORM))
+    w, hit, items = words(text), set(), set()
+    for i, b in bench:
+        x = words(b)
+        for k in range(max(1, len(x) - 12)) if x else ():
+            win = x[k : k + 13]
+            for p in range(len(w) - len(win) + 1):
+                if w[p : p + len(win)] == win:
+                    hit |= set(range(p, p + len(win)))
+                    items.add(str(i))
+    return len(w), len(hit), sorted(items), bool(hit) and 20 * len(hit) >= len(w)
+
+
+def bench_and_docs(spark):
+    rng = random.Random(3)
+    vocab = [f"v{i}" for i in range(30)] + ["É", "é", "Ab"]
+    line = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [line(n) for n in (20, 13, 15, 5, 2, 1, 30)] + [[]]
+    bench = [(i, " ".join(x)) for i, x in enumerate(items)] + [(99, " ".join(items[0])), (None, "null id item words"), (7, None)]
+    texts = [*EDGE[:5], " ".join(line(200)), "  ".join(line(50) + items[0][3:18] + line(200)), ("-".join(items[6])).upper(), "v1", " ".join(items[3]) + " " + " ".join(items[3])]
+    b = spark.createDataFrame(bench, "item_id long, text string").transform(clash)
+    return bench, texts, b, docs(spark, texts)
+
+
+@pytest.mark.parametrize("most", [1_000_000, 7])
+def test_decontamination_against_brute_force(spark, most):
+    bench, texts, b, d = bench_and_docs(spark)
+    got = {r["k_id"]: r for r in decontamination.judged(d, b, most).collect()}
+    for i, t in enumerate(texts):
+        n, hit, items, bad = brute_hits(t, [("" if k is None else k, x) for k, x in bench])
+        r = got[i]
+        assert (r["n_words"], r["n_hit"], r["items"] or [], r["contaminated"]) == (n, hit, items, bad), i
+        assert r["items_sha256"] == hashlib.sha256(",".join(items).encode()).hexdigest()
+    assert {r["doc_id"] for r in decontamination.remove_documents(d, b, most).collect()} == {i for i in got if not got[i]["contaminated"]}
+
+
+def test_span_removal(spark):
+    item = " ".join(f"q{i}" for i in range(13))
+    d = docs(spark, [f"- Keep this, {item.upper()} and that.", "clean text", None]).transform(clash)
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = decontamination.remove_spans(d, b)
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: "- Keep this, and that.", 1: "clean text", 2: None}
+    assert out.columns == d.columns
+    assert decontamination.judged(d, b.limit(0)).where("contaminated OR n_hit > 0").count() == 0
+
+
+def test_secrets(spark):
+    key = hashlib.sha1(b"k").hexdigest()
+    texts = [f'set token = "{key}" now', f"commit {key} fixed it", f'a token = "{key}" and api_key: {base64.b64encode(hashlib.sha256(b"z").digest())[:30].decode()} end', "pay 4111111111111111 now", None, ""]
+    d = docs(spark, texts).transform(clash)
+    found = secret_scan.findings(d).collect()
+    real = {(r["doc_id"], r["ordinal"]) for r in found if r["is_secret"]}
+    assert real == {(0, 0), (2, 0), (2, 1)}
+    for r in found:
+        c = texts[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert hashlib.sha256(c.encode()).hexdigest() == r["fingerprint"]
+    out = {r["doc_id"]: r for r in secret_scan.redact(d).collect()}
+    assert out[0]["text"] == f'set token = "{secret_scan.MASK}" now' and out[0]["n_chars"] == len(out[0]["text"])
+    assert [out[i]["text"] for i in (1, 3, 4, 5)] == [texts[i] for i in (1, 3, 4, 5)]
+
+
+def test_forest_on_held_out_findings(spark):
+    rows = secret_scan.labelled_findings(spark, 400).withColumn("k", F.monotonically_increasing_id() % 400).where("k >= 150")
+    text = F.concat("before", "candidate", F.lit(" after"))
+    d = rows.select(F.monotonically_increasing_id().alias("doc_id"), text.alias("text"), "label")
+    found = secret_scan.findings(d).where("is_secret").select("doc_id").distinct()
+    right = d.join(found.withColumnRenamed("doc_id", "f"), F.col("doc_id") == F.col("f"), "left").select((F.col("f").isNotNull() == (F.col("label") == 1)).alias("ok"))
+    assert right.agg(F.avg(F.col("ok").cast("int"))).first()[0] > 0.95
+
+
+def test_sentencepiece_rows(spark):
+    texts = [*EDGE, "the quick brown fox " * 400, "a" * 3000]
+    sp = sentencepiece_scan.encoder(sentencepiece_scan.MODEL).sp
+    got = {r["doc_id"]: r for r in sentencepiece_scan.encode(docs(spark, texts), giant=1000, chunk=700).collect()}
+    assert all(list(got[i]["ids"]) == sp.encode(t or "") and got[i]["round_trip"] for i, t in enumerate(texts))
+
+
+@pytest.mark.parametrize("rule", token_counts.RULES)
+def test_token_counts_against_brute_force(spark, rule):
+    texts = ["Hello world\n  next line\n\nünï🙂漢字\nend", "\n\n\n", "no newline at all", *EDGE]
+    enc, size = token_counts._encoding(token_counts.VOCABULARY)
+    got = {}
+    for r in token_counts.section_counts(docs(spark, texts), rule=rule).collect():
+        got.setdefault(r["doc_id"], {})[r["section"]] = (r["start"], r["end"], r["n_tokens"], r["doc_tokens"])
+    for i, t in enumerate(texts):
+        if not t:
+            assert i not in got
+            continue
+        lines = [x for x in re.findall(r"[^\n]*\n|[^\n]+", t)]
+        owner = [k for k, x in enumerate(lines) for _ in x.encode()]
+        want, at = [0] * len(lines), 0
+        for token in enc.encode_ordinary(t):
+            span = owner[at : at + int(size[token])]
+            at += len(span)
+            want[{"first": span[0], "last": span[-1], "most": max(sorted(set(span)), key=span.count)}[rule]] += 1
+        mine = [got[i][k] for k in range(len(lines))]
+        assert [x[2] for x in mine] == want and sum(want) == mine[0][3]
+        assert [t[x[0] : x[1]] for x in mine] == lines
+
+
+def test_token_counts_of_given_spans(spark):
+    d = spark.createDataFrame([(1, "Hello world, ü", [(0, 5), (6, 11)]), (2, "abc", None)], "doc_id long, text string, s array<struct<start int, end int>>")
+    got = [(r["doc_id"], r["section"], r["start"], r["end"], r["n_tokens"]) for r in token_counts.section_counts(d, "s").collect()]
+    assert got == [(1, 0, 0, 5, 1), (1, 1, 6, 11, 0)]  # " world" begins before the second span
+    with pytest.raises(ValueError):
+        token_counts.section_counts(d, "s", rule="none")
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
+<nav><ul><li><a href="/a">menu</a></li><li><a href="/b">more</a></li></ul></nav><div class="ad">buy &amp; win</div>
+<article><h1>Title &eacute;</h1><p>First  <b>bold</b> text&nbsp;here<br>next<p>Second &lt;p&gt;<div class="newsletter signup"><form><input><button>Go</button></form></div></article>
+<aside class="sidebar"><p>aside text</p></aside><section id="comments"><p>reader says</p></section><footer>&copy; us</footer>"""
+
+
+def test_html(spark):
+    rows = [("u", PAGE), ("u", None), (None, ""), ("u", "<article><p>cut off <b>in the mid"), ("u", "<p"), ("u", PAGE)]
+    got = [r["text"] for r in html_extraction.main_text(pages(spark, rows).transform(clash)).orderBy("page_id").collect()]
+    assert got[0] == "Title é First bold text here next Second <p>" == got[5]
+    assert got[1] == got[2] == "" and got[3] == "cut off in the mid"
+    assert html_extraction.main_text(pages(spark, rows).limit(0)).count() == 0
+
+
+def test_html_model_on_held_out_pages():
+    right = total = 0
+    model = html_extraction.model()
+    for page in html_extraction.training_pages(40, 77):
+        nodes, x = html_extraction.describe(html_extraction.parse(page))
+        marked, _ = html_extraction.describe(html_extraction.parse(page.replace(" data-main", ' itemprop="zzmain"')))
+        kept = html_extraction.decode(nodes, model.odds(x))
+        y = [n.tag == "#page" or "zzmain" in n.attrs for n in marked]
+        right += sum((id(n) in kept) == t for n, t in zip(nodes, y))
+        total += len(y)
+        assert all(n.parent is None or id(n.parent) in kept or n.parent not in nodes for n in nodes if id(n) in kept)
+    assert right / total > 0.97
+
+
+def test_warc(spark, tmp_path):
+    rows = [("u1", "same"), ("u2", "same"), ("u3", None), ("u4", "ü"), ("u5\r\nX: y", "same"), ("u6", "")]
+    p = pages(spark, rows)
+    p = p.unionByName(p.where("page_id = 4")).transform(clash)  # the last copy, twice
+    path = str(tmp_path / "a")
+    warc.write_archive(p, path)
+    got = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"]) for r in warc.index(spark, path).collect()))
+    digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
+    kind = {0: ("revisit", 4), 1: ("revisit", 4), 2: ("revisit", 5), 3: ("response", None), 4: ("response", None), 5: ("response", None)}
+    assert got == [(i, *kind[i], len((rows[i][1] or "").encode()), digest(rows[i][1])) for i in (0, 1, 2, 3, 4, 4, 5)]
+    assert spark.read.parquet(f"{path}/payloads").count() == 3
+    back = warc.read_archive(spark, path)
+    assert {r["page_id"]: bytes(r["payload"]).decode() for r in back.collect()} == {i: h or "" for i, (_, h) in enumerate(rows)}
+    records = {r["page_id"]: bytes(r["record"]) for r in warc.warc_records(back).collect()}
+    assert records[3].startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and records[3].endswith(b"Content-Length: 2\r\n\r\n\xc3\xbc\r\n\r\n")
+    assert b"WARC-Refers-To: <urn:page:4>" in records[0] and b"\r\nX: y" not in records[4]
+    warc.write_archive(p.limit(0), str(tmp_path / "b"))
+    assert warc.index(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_damaged_archive_is_refused(spark, tmp_path):
+    warc.write_archive(pages(spark, [("u", "x")]), str(tmp_path / "a"))
+    good = spark.read.parquet(f"{tmp_path}/a/payloads")
+    good.withColumn("payload", F.encode(F.lit("y"), "utf-8")).write.parquet(f"{tmp_path}/c/payloads")
+    spark.read.parquet(f"{tmp_path}/a/records").write.parquet(f"{tmp_path}/c/records")
+    with pytest.raises(Exception, match="payload missing or damaged"):
+        warc.read_archive(spark, f"{tmp_path}/c").collect()
+
+
+URLS = ["https://a.b.net/x", "http://www.EXAMPLE.net/en/1?q", "http://example.net/fr/", "https://m.example.com/de/9#t", "http://x.org/fr/a", "http://x.org/en/a",
+        "http://net", "http://notexample.com/de/", None, "no scheme", "ftp://h?p=/de/", "http://exa.com:80/a://b"]
+
+
+def test_url_rules(spark):
+    got = [(r["host"], r["path"], r["rule"]) for r in url_filter.judge(pages(spark, [(u, "") for u in URLS]).transform(clash)).orderBy("page_id").collect()]
+    assert got == [
+        ("a.b.net", "/x", "net/"), ("www.example.net", "/en/1", "example.net/en/"), ("example.net", "/fr/", "net/"), ("m.example.com", "/de/9", "example.com/de/"),
+        ("x.org", "/fr/a", "org/fr/"), ("x.org", "/en/a", None), ("net", "", None), ("notexample.com", "/de/", None), ("", "", None), ("", "", None), ("h", "", None),
+        ("exa.com:80", "/a://b", None),
+    ]
+    assert url_filter.judge(pages(spark, [("u", "")]).limit(0)).count() == 0
+
+
+def test_url_model_on_held_out_hosts(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("thraeinos") for _ in range(rng.randint(5, 9)))
+    good = [f"https://{name()}.example.org/en/{i}" for i in range(300)]
+    bad = [f"https://{rng.choice(['casino-win', 'cheap-pills', 'free-bets', 'adult-x'])}{i % 7}.example.org/en/{i}" for i in range(150)]
+    bad += [f"https://{rng.choice(['casino', 'pills', 'bets'])}-{name()}.example.org/en/{i}" for i in range(60)]
+    rows = url_filter.judge(pages(spark, [(u, "") for u in good + bad])).collect()
+    ok = [(r["verdict"] == "block") == (r["page_id"] >= len(good)) for r in rows]
+    assert sum(ok) / len(ok) > 0.95
+    allowed = {r["verdict"] for r in url_filter.judge(pages(spark, [(u, "") for u in good])).collect()}
+    assert allowed == {"allow"}  # labels of one kind say nothing
+
+
+def test_smoothed_probabilities_add_up():
+    full = np.random.default_rng(0).integers(0, 3, url_filter.S ** (url_filter.ORDER + 1))
+    p = np.exp(url_filter.smoothed(full)).reshape(-1, url_filter.S).sum(axis=1)
+    assert np.allclose(p, 1, atol=1e-3)
+
+
+def test_sharding(spark):
+    rng = random.Random(6)
+    texts = ["x" * rng.randint(0, 60) for _ in range(300)] + ["y" * 900]
+    rows = sharding.assign(docs(spark, texts), 200).collect()
+    assert len(rows) == len(texts)
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r)
+    for shard, own in by.items():
+        total = sum(r["n_bytes"] for r in own)
+        assert all(r["shard_bytes"] == total and r["depth"] == len(shard) for r in own)
+        assert total <= 200 or (len(own) == 1 and own[0]["oversized"])
+        twin = shard[:-1] + ("1" if shard.endswith("0") else "0")
+        mates = [r for s, o in by.items() if shard and s.startswith(twin) for r in o]
+        assert not shard or sum(r["n_bytes"] for r in own + mates) > 200  # no split without need
+        assert not any(s != shard and s.startswith(shard) for s in by)
+
+
+def test_sharding_of_one_hot_id(spark):
+    d = docs(spark, ["z" * 50] * 20).withColumn("doc_id", F.lit(7).cast("long")).unionByName(docs(spark, ["q" * 50] * 10, 100))
+    rows = sharding.assign(d, 200).collect()
+    hot = [r for r in rows if r["doc_id"] == 7]
+    assert len(rows) == 30 and len({r["shard"] for r in hot}) == 1 and all(r["oversized"] for r in hot)
+
+
+def test_shards_are_written_whole(spark, tmp_path):
+    d = docs(spark, [f"text {i}" * 5 for i in range(40)])
+    sharding.write_shards(d, str(tmp_path / "s"), 300)
+    assert spark.read.parquet(str(tmp_path / "s")).drop("_tm_shard").exceptAll(d).count() == 0
+
+
+def test_brute_main_text_agrees(spark):
+    p = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    want = {}
+    for r in p.collect():
+        a = r["html"].find("<article>")
+        b = r["html"].find("</article>")
+        body = r["html"][a : b if b >= 0 else None] if a >= 0 else ""
+        want[r["page_id"]] = " ".join(html.unescape(re.sub(r"</?(p|h1|br|article)>", " ", body).replace("<b>", "").replace("</b>", "")).split())
+    assert {r["page_id"]: r["text"] for r in html_extraction.main_text(p).collect()} == want
