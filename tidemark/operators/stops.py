@@ -79,8 +79,8 @@ def _worthwhile(segs: DataFrame, cfg: StopConfig) -> DataFrame:
 
 def session_window_segments(rows: DataFrame, cfg: StopConfig) -> DataFrame:
     """The same segments through ``session_window``, as a stream would have them."""
-    # A session of that window ends before its gap; one microsecond more keeps equal gaps together.
-    gap = f"{int(cfg.max_gap_minutes * MINUTE) + 1} microseconds"
+    # Rows exactly one gap apart share a session window, as they share a segment.
+    gap = f"{int(cfg.max_gap_minutes * MINUTE)} microseconds"
     out = rows.groupBy("mmsi", F.session_window("timestamp", gap).alias("w")).agg(*_segment_columns())
     return _worthwhile(out, cfg).drop("w")
 

@@ -18,7 +18,7 @@ from tidemark.functions.geo import spread_meters
 def stop_stream(messages: DataFrame, cfg: StopConfig | None = None, lateness: str = "1 hour") -> DataFrame:
     """Segments of a streaming (or batch) DataFrame of messages, in append mode."""
     cfg = cfg or StopConfig()
-    gap = f"{int(cfg.max_gap_minutes * MINUTE) + 1} microseconds"
+    gap = f"{int(cfg.max_gap_minutes * MINUTE)} microseconds"
     rows = candidates(messages, cfg).withWatermark("timestamp", lateness)
     out = rows.groupBy("mmsi", F.session_window("timestamp", gap).alias("w")).agg(
         F.avg("lat").alias("lat"),
