@@ -202,6 +202,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     sigs = materialise(signatures(docs), "signatures")
     real = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = real.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    # Written apart, so that the last join, on sets that many documents have, can be split.
+    reps = materialise(reps, "reps")
     # Only buckets with several sets matter from here on.
     rows = reps.select("rep", "n", F.explode("bands").alias("key"))
     several = rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
