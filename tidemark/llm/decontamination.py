@@ -37,6 +37,8 @@ N = 13
 ANCHOR = 4
 #: Most windows in one broadcast: about 150 bytes each, so 75 MB.
 MAX_WINDOWS = 500_000
+#: Most documents to remove in a broadcast (about 50 bytes each); beyond it the texts shuffle.
+MAX_BROADCAST_KEYS = 1_000_000
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -144,8 +146,13 @@ def remove_documents(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_W
     """``docs`` without the contaminated ones, with the same columns.
 
     Documents are matched by id and text, so a repeated id is judged text by text.
+    Few keys are broadcast, so that the texts stay where they are.
     """
-    return _keyed(docs, judged(docs, bench, max_windows).where("contaminated").select("k_id", "k_hash").distinct(), "left_anti")
+    gone = judged(docs, bench, max_windows).where("contaminated").select("k_id", "k_hash").distinct()
+    gone = materialise(gone, "contaminated")
+    if gone.count() <= MAX_BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    return _keyed(docs, gone, "left_anti")
 
 
 def remove_spans(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_WINDOWS) -> DataFrame:

@@ -236,8 +236,14 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component, its columns unchanged."""
+    """``docs`` with one document of each component, its columns unchanged.
+
+    Few ids are broadcast, so that the texts stay where they are.
+    """
     gone = near_components(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = materialise(gone, "repeated")
+    if gone.count() <= MAX_BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
 
 
