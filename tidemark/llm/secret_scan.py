@@ -1,12 +1,16 @@
 """Secret scanning with a random forest that removes false positives.
 
-Candidates are runs of at least 16 token characters with a digit.  Features of a
-candidate and the text before it go through a random forest, which was trained on
-labelled findings with Spark ML and is then written out as one SQL expression, so
-a scan is a projection: no shuffle, no Python, and the forest is part of the plan.
+Candidates are values of at least 4 characters after a speaking assignment, passwords
+in URLs, and all runs of at least 16 token characters, with digits or without.
+Features of a candidate and the text around it go through a random forest, which was
+trained on labelled findings with Spark ML and is then written out as one SQL
+expression, so a scan is a projection: no shuffle, no Python, and the forest is part
+of the plan.
 
 Features: length, class transitions, digit and distinct-character shares,
-dictionary coverage, path position, and the neighbouring words.
+dictionary coverage, path position, known prefixes, and the neighbouring words.  The
+neighbourhood is taken from the whole text, other candidates included.  A value with
+spaces is a candidate up to its first space only.
 
 The default labelled findings are made by Spark SQL from templates, ``PER_TEMPLATE``
 of each; that number bounds the training sample.
@@ -26,8 +30,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import let
 
 TOKEN = r"A-Za-z0-9+/_\-"
-CANDIDATE = rf"(?<![{TOKEN}])(?=[A-Za-z+/_\-]*[0-9])[{TOKEN}]{{16,}}+={{0,2}}"
-BEFORE = 48
+_NAMES = "token|secret|passw|pass|pwd|api|key|auth|bearer|credential|private|access"
+# The short looks behind come first: they spare the long one nearly everywhere.
+_ASSIGNED = rf"(?<=[=:\s\"'`])(?<=[=:]\s{{0,4}}[\"'`]?)(?<=(?i:{_NAMES})[\w\-]{{0,16}}[\"'`]?\s{{0,4}}[=:]\s{{0,4}}[\"'`]?)"
+_QUOTED = r"(?<=[\"'`])[^\s\"'`]{4,}+"
+_BARE = r"(?<![\"'`])(?:(?!&\w{1,32}=)[^\s\"'`<>,;]){3,}(?!&\w{1,32}=)[^\s\"'`<>,;.:?]"
+_IN_URL = r"(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@]{4,}+(?=@)"
+_RUN = rf"(?<![{TOKEN}])(?=[+/_\-]*+[A-Za-z0-9])[{TOKEN}]{{16,}}+(?:={{1,2}}(?![{TOKEN}=\"'`]))?"
+CANDIDATE = rf"{_IN_URL}|{_ASSIGNED}(?:{_QUOTED}|{_BARE})|{_RUN}"
+#: Characters of context; a candidate has ``LEAST`` characters, so ``BEFORE / LEAST`` of them reach over it.
+BEFORE, AFTER, LEAST = 48, 16, 4
 PER_TEMPLATE = 150
 TREES, DEPTH, SEED = 15, 5, 7
 CUT = 0.5
@@ -41,13 +53,15 @@ DICTIONARY = (
 )
 SPEAKS_FOR = r"(?i)(token|secret|passw|pwd|api|key|auth|bearer|credential|private|access)[^\n]{0,16}$"
 SPEAKS_AGAINST = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|etag|uuid|guid|isbn|doi|phone|card|iban|account|order|invoice|tracking|session)\W[^\n]{0,12}$"
+KNOWN = r"\A(?:A[KS]IA[A-Z2-7]{16}\z|gh[oprsu]_|github_pat_|glpat-|xox[abprs]-|sk[_-]|AIza|eyJ)"
 
 FEATURES = (
     "length", "transitions", "digits", "distinct", "dictionary", "hex", "decimal", "path", "assigned", "quoted", "for", "against",
+    "known", "url", "reference", "upper", "parts", "named",
 )
 
 
-def features(c: Column, before: Column) -> list[Column]:
+def features(c: Column, before: Column, after: Column) -> list[Column]:
     """Doubles, in the order of ``FEATURES``."""
     n = F.length(c).cast("double")
     left = lambda pattern: F.length(F.regexp_replace(c, pattern, "")) / n
@@ -67,6 +81,12 @@ def features(c: Column, before: Column) -> list[Column]:
         flag(before.rlike(r"[\"'`]\z")),
         flag(before.rlike(SPEAKS_FOR)),
         flag(before.rlike(SPEAKS_AGAINST)),
+        flag(c.rlike(KNOWN)),
+        flag(before.rlike(r"://[^\s/:@]*:\z") & after.startswith("@")),
+        flag(c.rlike(r"\A[$%{(\[*]")),
+        left("[^A-Z]+"),
+        F.length(F.regexp_replace(c, r"[^_/.\-]+", "")) / n,
+        flag(after.rlike(r"\A[\"'`]?\s*(?:[=:(]|->)")),
     ]
 
 
@@ -88,18 +108,42 @@ TEMPLATES = (
     (0, "concat(word, ' = ')", "concat(repeat(substring(word, 1, 1), 14), k % 100, 'xx')"),
     (0, "concat(word, ' ')", "concat(word, word, word, word, word, k % 10)"),
     (0, "concat(word, ' tel ')", "concat('0049-', lpad(k * 7919 % 1000, 3, '0'), '-', lpad(k * 104729 % 1000000, 8, '3'))"),
+    # Short values, and runs without a forced digit or with none.
+    (1, "concat(word, if(k % 2 = 0, ' password = \"', ' pwd=\"'))", "substring(translate(base64(unhex(md5(seed))), '+/=', '&!$'), 1, 7 + k % 9)"),
+    (1, "concat(word, if(k % 2 = 0, ' password: ', ' secret='))", "concat(word, k % 97, substring(md5(seed), 1, 3 + k % 5))"),
+    (1, "concat(word, if(k % 2 = 0, ' key id ', ' aws_access_key_id = '))", "concat('AKIA', substring(translate(upper(base64(unhex(sha2(seed, 256)))), '+/0189', 'QWERTZ'), 1, 16))"),
+    (1, "concat(word, if(k % 2 = 0, ' ', ' key id '))", "concat('AKIA', substring(translate(upper(base64(unhex(sha2(seed, 256)))), '+/0123456789', 'QWERTZUIOPAS'), 1, 16))"),
+    (1, "concat(word, if(k % 2 = 0, ' use ', ' token: '))", "concat('ghp_', substring(translate(base64(unhex(sha2(seed, 256))), '+/0123456789', 'abQwErTzUiOp'), 1, 36))"),
+    (1, "concat(word, if(k % 2 = 0, ' api_key: ', ' secret = \"'))", "substring(translate(base64(unhex(sha2(seed, 256))), '+/0123456789', 'abQwErTzUiOp'), 1, 16 + k % 24)"),
+    (1, "concat(word, ' use ')", "substring(translate(base64(unhex(sha2(seed, 256))), '0123456789', 'QwErTzUiOp'), 1, 24 + k % 18)"),
+    (0, "concat(word, if(k % 2 = 0, ' password: ', ' key = '))", "if(k % 3 = 0, word, concat(word, substring('sedlying', 1, k % 9)))"),
+    (0, "if(k % 2 = 0, 'Authorization: ', 'the key: ')", "if(k % 4 = 0, 'Bearer', initcap(word))"),
+    (0, "concat(word, if(k % 2 = 0, ' password = \"', ' token: '))", "concat(if(k % 3 = 0, '${', '$('), upper(word), if(k % 5 = 0, '_PASSWORD', '_TOKEN'), '}')"),
+    (0, "concat(word, if(k % 2 = 0, ' key: ', ' access: '))", "concat(2000 + k % 30, if(k % 3 = 0, '', concat('-', lpad(k % 12 + 1, 2, '0'))))"),
+    (0, "concat(word, ' ')", "concat('get', initcap(word), 'FromPage', if(k % 2 = 0, 'ForUser', 'AndThisItem'))"),
+    (0, "concat(word, ' ')", "concat_ws(if(k % 3 = 0, '_', '-'), word, 'and', 'the', word, substring('sedlying', 1, k % 9))"),
+    (0, "concat('the ', '')", "concat(if(k % 2 = 0, initcap(word), word), word, word, substring('schaftlichenlung', 1, 4 + k % 13))"),
+    (0, "concat(word, '/')", "concat_ws('/', word, 'path', initcap(word), concat('the', word))"),
+    (0, "concat(word, ' ')", "concat(if(k % 2 = 0, 'AWS_SECRET_', 'MAX_VALUE_OF_'), upper(word), '_KEY', if(k % 3 = 0, '_ID', '_NAME'))"),
+)
+#: The same with SQL for the text after the candidate, where that tells it.
+PLACED = (
+    (1, "concat(if(k % 2 = 0, 'postgres://', 'https://'), word, ':')", "substring(translate(base64(unhex(md5(seed))), '+/=', 'a!$'), 1, 6 + k % 12)", "'@db/prod'"),
+    (1, "concat('amqp://', word, ':')", "concat(word, k % 97)", "'@queue.example.org'"),
+    (0, "concat('postgres://', word, ':')", "concat('${', upper(word), '_PASSWORD}')", "'@db/prod'"),
+    (0, "concat(word, ' ')", "concat(if(k % 2 = 0, 'aws_secret_access_', 'MY_PRIVATE_TOKEN_OF_'), if(k % 3 = 0, word, upper(word)))", "if(k % 2 = 0, ' = \"', '=')"),
 )
 _WORDS = "page,image,report,value,section,model,release,chapter,lemon,river,stone,garden"
 
 
-def labelled_findings(spark: SparkSession, per_template: int = PER_TEMPLATE) -> DataFrame:
-    """``label, before, candidate``."""
+def labelled_findings(spark: SparkSession, per_template: int = PER_TEMPLATE, templates=TEMPLATES) -> DataFrame:
+    """``label, before, candidate, after``."""
     words = "array(" + ",".join(f"'{w}'" for w in _WORDS.split(",")) + ")"
     base = spark.range(per_template).selectExpr("cast(id AS int) AS k", f"{words}[cast(id % {len(_WORDS.split(','))} AS int)] AS word")
     out = None
-    for i, (label, before, candidate) in enumerate(TEMPLATES):
+    for i, (label, before, candidate, *after) in enumerate(templates):
         rows = base.withColumn("seed", F.concat(F.lit(f"{i}-"), "k")).selectExpr(
-            f"{label} AS label", f"{before} AS before", f"cast({candidate} AS string) AS candidate"
+            f"{label} AS label", f"{before} AS before", f"cast({candidate} AS string) AS candidate", f"{(after or ['cast(null as string)'])[0]} AS after"
         )
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -110,7 +154,7 @@ def train(findings: DataFrame) -> list:
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    cols = [f.alias(n) for n, f in zip(FEATURES, features(F.col("candidate"), F.col("before")), strict=True)]
+    cols = [f.alias(n) for n, f in zip(FEATURES, features(F.col("candidate"), F.col("before"), F.coalesce("after", F.lit(" after"))), strict=True)]
     rows = findings.select(F.col("label").cast("double").alias("label"), *cols)
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows).select("label", "features")
     model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird").fit(rows.coalesce(1))
@@ -127,7 +171,7 @@ def train(findings: DataFrame) -> list:
 
 @lru_cache(maxsize=1)
 def _default_forest() -> list:
-    return train(labelled_findings(SparkSession.getActiveSession()))
+    return train(labelled_findings(SparkSession.getActiveSession(), templates=TEMPLATES + PLACED))
 
 
 def probability(forest: list, x: Column) -> Column:
@@ -151,12 +195,22 @@ def _scan(text: Column, forest: list) -> Column:
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     gaps = F.split(text, CANDIDATE, -1)
 
-    def judged(c: Column, before: Column) -> Column:
-        x = F.struct(*[v.alias(n) for n, v in zip(FEATURES, features(c, before), strict=True)])
+    def judged(c: Column, before: Column, after: Column) -> Column:
+        x = F.struct(*[v.alias(n) for n, v in zip(FEATURES, features(c, before, after), strict=True)])
         return F.struct(c.alias("c"), let(x, lambda s: probability(forest, s)).alias("p"))
 
     def both(g: Column, f: Column) -> Column:
-        items = F.transform(f, lambda c, i: let(F.substring(F.get(g, i), -BEFORE, BEFORE), lambda b: judged(c, b)))
+        pieces = F.zip_with(g, f, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        ends = F.transform(pieces, lambda x: F.struct(F.substring(x, -BEFORE, BEFORE).alias("last"), F.substring(x, 1, AFTER).alias("first")))
+
+        def around(e: Column, c: Column, i: Column) -> Column:
+            n = F.least(i, F.lit(BEFORE // LEAST))
+            before = F.concat(F.array_join(F.slice(e["last"], i - n + 1, n), ""), F.get(g, i))
+            after = F.array_join(F.slice(e["first"], i + 2, F.lit(AFTER // LEAST)), "")
+            x = F.struct(F.substring(before, -BEFORE, BEFORE).alias("b"), F.substring(after, 1, AFTER).alias("a"))
+            return let(x, lambda y: judged(c, y["b"], y["a"]))
+
+        items = let(ends, lambda e: F.transform(f, lambda c, i: around(e, c, i)))
         return F.struct(g.alias("gaps"), items.alias("items"))
 
     return let(gaps, lambda g: let(found, lambda f: both(g, f)))
