@@ -324,6 +324,21 @@ def test_html_model_on_held_out_pages():
     assert right / total > 0.97
 
 
+@pytest.mark.parametrize("n", [20, 199, 200, 400])
+def test_sibling_statistics_at_every_size(n):
+    menu, footer = "<ul><li><a href=/a>home</a></li></ul>", "<div>copyright</div>"
+    page = f"<body>{menu}{''.join(f'<p>paragraph {i}</p>' for i in range(n))}{footer}</body>"
+    nodes, x = html_extraction.describe(html_extraction.parse(page))
+    at = {f: i for i, f in enumerate(html_extraction.FEATURES)}
+    rows = [x[i] for i, k in enumerate(nodes) if k.parent is not None and k.parent.tag == "body"]
+    assert [r[at["place"]] for r in rows] == [i / (n + 2) for i in range(n + 2)]
+    assert np.allclose([r[at["siblings"]] for r in rows], np.log1p([1, *[n] * n, 1]))
+    assert np.isclose(sum(r[at["share"]] for r in rows), 1)
+    # The same below a part of the page: shares are of the siblings' text, not of the page's.
+    nodes, x = html_extraction.describe(html_extraction.parse(f"<p>{'x' * 9999}</p><div>{page}</div>"))
+    assert np.isclose(sum(x[i][at["share"]] for i, k in enumerate(nodes) if k.parent is not None and k.parent.tag == "body"), 1)
+
+
 def test_warc(spark, tmp_path):
     rows = [("u1", "same"), ("u2", "same"), ("u3", None), ("u4", "ü"), ("u5\r\nX: y", "same"), ("u6", "")]
     p = pages(spark, rows)

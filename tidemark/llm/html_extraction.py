@@ -21,6 +21,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -153,9 +154,13 @@ def describe(root: Node) -> tuple[list[Node], np.ndarray]:
                     k = own[id(x)]
                     s = [a + b for a, b in zip(s, k, strict=True)]
         own[id(n)] = s
-    total = max(1.0, own[id(root)][0])
     x = np.zeros((len(nodes), len(FEATURES)))
     above: dict[int, tuple[float, float]] = {}
+    mates = {id(root): (0.0, 1, own[id(root)][0])}  # place, children of the same tag, text of all children
+    for n, _ in order:
+        tags, text = Counter(k.tag for k in n.kids), sum(own[id(k)][0] for k in n.kids)
+        for j, k in enumerate(n.kids):
+            mates[id(k)] = (j / len(n.kids), tags[k.tag], text)
     for i, n in enumerate(nodes):
         c, a, tags, words = own[id(n)]
         names = n.attrs | {n.tag}
@@ -165,10 +170,7 @@ def describe(root: Node) -> tuple[list[Node], np.ndarray]:
             up = up.parent
         over = above[id(up)] if up is not None else (0.0, 0.0)
         above[id(n)] = (max(over[0], bad), max(over[1], good))
-        mates = n.parent.kids if n.parent else [n]
-        alike = sum(k.tag == n.tag for k in mates) if len(mates) < 200 else len(mates)
-        place = mates.index(n) / len(mates) if len(mates) < 200 else 0.5
-        mate_text = sum(own[id(k)][0] for k in mates) if len(mates) < 200 else total
+        place, alike, mate_text = mates[id(n)]
         x[i] = (
             np.log1p(c), a / max(1.0, c), c / tags, words / max(1, len(n.kids)), np.log1p(tags), min(n.depth, 20), bad, good, *over,
             n.tag in _PARAGRAPH, n.tag in _HEADING, n.tag in _LIST, place, np.log1p(alike), c / max(1.0, mate_text), n.tag in _CONTROL,
