@@ -395,6 +395,17 @@ def test_url_model_on_held_out_hosts(spark):
     assert allowed == {"allow"}  # labels of one kind say nothing
 
 
+def test_url_models_read_the_whole_url(spark):
+    good = [f"https://site{i}.example.org/en/{i}" for i in range(60)]
+    bad = [f"https://casino-win-bets{i}.example.org/en/{i}" for i in range(60)]
+    more = ["http://safe.example.org/out", "http://safe.example.org/out?u=casino-win-bets", "http://safe.example.org/out#casino-win-bets", "file:///casino-win-bets/casino"]
+    rows = url_filter.judge(pages(spark, [(u, "") for u in good + bad + [*more, "casino-win-bets", "x://"]])).orderBy("page_id").collect()
+    plain, query, fragment, file, bare, empty = rows[120:]
+    assert min(query["score"], fragment["score"]) > plain["score"] and (query["host"], query["path"]) == (plain["host"], plain["path"])
+    assert (file["host"], plain["verdict"]) == ("", "allow") and file["score"] > plain["score"]
+    assert [(r["score"], r["verdict"]) for r in (bare, empty)] == [(0.0, "allow")] * 2
+
+
 def test_smoothed_probabilities_add_up():
     full = np.random.default_rng(0).integers(0, 3, url_filter.S ** (url_filter.ORDER + 1))
     p = np.exp(url_filter.smoothed(full)).reshape(-1, url_filter.S).sum(axis=1)

@@ -4,7 +4,8 @@ Rules come first: a rule ``host/path`` fits its host and all subdomains if the
 URL's path starts with the rule's path; the longest fitting rule decides.
 
 All other URLs are judged by two variable-order Markov models, one of accepted
-and one of rejected URLs.  Counts over every URL of the table, for contexts of up
+and one of rejected URLs.  They read all that follows the scheme, query and fragment
+included, in lower case.  Counts over every URL of the table, for contexts of up
 to ``ORDER`` characters, are smoothed by Witten-Bell interpolation from each order
 to the next shorter one.  A URL's score is its log-likelihood under the rejected
 model minus that under the accepted one, per character.  The threshold is
@@ -19,7 +20,8 @@ The alphabet has ``len(ALPHABET) + 2`` symbols, so a model has at most
 40**(ORDER + 1) numbers whatever the table's size: the broadcast is 10 MB.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path,
-fits no rule and is allowed: nothing speaks against it.  Rows are judged one by
+fits no rule and is allowed: nothing speaks against it.  A URL with ``://`` and no
+host has an accepted label and is judged by the models.  Rows are judged one by
 one.  Only ``page_id`` and ``url`` are read by name.
 """
 
@@ -41,9 +43,9 @@ SEEDS = (
     "loan", "loans", "lottery", "payday", "pharma", "pills", "poker", "popup", "porn", "promo", "slots", "spam", "track",
     "tracker", "tracking", "viagra", "warez", "win", "xxx",
 )
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_%~:"
+ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_%~:?=&#"
 ORDER = 3
-S = 40  # symbols: the alphabet, others, the ends, and spare ones
+S = 40  # symbols: the alphabet, others, and the ends
 EDGE, OTHER = 39, 38
 BINS = 400
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -58,6 +60,11 @@ def path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
+def whole(url: Column) -> Column:
+    """What the models read: all after the scheme."""
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)\A.*?://(.*)\z", 1))
+
+
 def rule(h: Column, p: Column, rules=RULES) -> Column:
     """The longest rule that fits, or null."""
     out = F.lit(None).cast("string")
@@ -168,9 +175,7 @@ def train(urls: DataFrame) -> tuple[np.ndarray, float]:
 
 def judge(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` for every row."""
-    rows = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    text = F.when(F.col("host") == "", F.lit("")).otherwise(F.concat("host", F.lower("path")))
-    rows = rows.withColumn("text", text)
+    rows = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), whole(F.col("url")).alias("text"))
     ratio, cut = train(rows.select("text", rejected(F.col("host"), seeds).alias("rejected")))
     spark: SparkSession = pages.sparkSession
     out = _scored(rows, spark.sparkContext.broadcast(ratio)).withColumn("rule", rule(F.col("host"), F.col("path"), rules))
