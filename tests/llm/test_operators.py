@@ -368,6 +368,16 @@ def test_damaged_archive_is_refused(spark, tmp_path):
         warc.read_archive(spark, f"{tmp_path}/c").collect()
 
 
+def test_wrong_digest_in_a_header_is_refused(spark, tmp_path):
+    warc.write_archive(pages(spark, [("u", "x"), ("v", "y")]), str(tmp_path / "a"))
+    spark.read.parquet(f"{tmp_path}/a/payloads").write.parquet(f"{tmp_path}/c/payloads")
+    records = spark.read.parquet(f"{tmp_path}/a/records")
+    records.withColumn("header", F.regexp_replace("header", "sha1:....", "sha1:AAAA")).write.parquet(f"{tmp_path}/c/records")
+    for read in (warc.read_archive, warc.index):
+        with pytest.raises(Exception, match="payload missing or damaged"):
+            read(spark, f"{tmp_path}/c").collect()
+
+
 URLS = ["https://a.b.net/x", "http://www.EXAMPLE.net/en/1?q", "http://example.net/fr/", "https://m.example.com/de/9#t", "http://x.org/fr/a", "http://x.org/en/a",
         "http://net", "http://notexample.com/de/", None, "no scheme", "ftp://h?p=/de/", "http://exa.com:80/a://b"]
 

@@ -107,18 +107,26 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> No
     keep.write.parquet(f"{path}/payloads")
 
 
+def _base32(sha1: Column) -> Column:
+    """40 hex digits in base32: ten of them are eight of its characters."""
+    part = lambda i: F.lpad(F.conv(F.substring(sha1, 10 * i + 1, 10), 16, 32), 8, "0")
+    return F.translate(F.concat(*map(part, range(4))), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
 def _payloads(spark: SparkSession, path: str) -> DataFrame:
-    """The payload table with ``sound``: whether a payload has the digest it is kept under."""
+    """The payload table with ``sound``, whether a payload has the digest it is kept under, and its ``weak`` digest in base32."""
     stored = spark.read.parquet(f"{path}/payloads").withColumnRenamed("address", "of")
-    return stored.withColumn("sound", F.sha2("payload", 256) == F.col("of"))
+    return stored.withColumn("sound", F.sha2("payload", 256) == F.col("of")).withColumn("weak", _base32(F.sha1("payload")))
 
 
 def _joined(records: DataFrame, payloads: DataFrame, *columns: str) -> DataFrame:
     both = records.join(payloads, F.col("address") == F.col("of"), "left")
+    same = F.col("sound") & (_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("weak")))
+    both = both.withColumn("sound", same)
     wrong = F.raise_error(F.concat(F.lit("payload missing or damaged: "), F.col("address")))
     for c in columns:
         both = both.withColumn(c, F.when(F.coalesce("sound", F.lit(False)), F.col(c)).otherwise(wrong.cast(payloads.schema[c].dataType)))
-    return both.drop("of", "sound")
+    return both.drop("of", "sound", "weak")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -148,7 +156,7 @@ def index(spark: SparkSession, path: str) -> DataFrame:
     measures travel to the records.
     """
     facts = _payloads(spark, path).select(
-        "of", "sound", F.octet_length("payload").cast("long").alias("payload_bytes"), F.upper(F.sha1("payload")).alias("payload_sha1_hex")
+        "of", "sound", "weak", F.octet_length("payload").cast("long").alias("payload_bytes"), F.upper(F.sha1("payload")).alias("payload_sha1_hex")
     )
     both = _joined(spark.read.parquet(f"{path}/records"), facts, "payload_bytes", "payload_sha1_hex")
     ref = F.regexp_extract(_field("WARC-Refers-To"), r"^<urn:page:(.*)>$", 1)
