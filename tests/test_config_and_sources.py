@@ -1,7 +1,8 @@
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark import config
+from tidemark import config, session
 from tidemark.cli import parser
 from tidemark.plans import pipeline
 from tidemark.sources import messages
@@ -65,8 +66,24 @@ def test_rejected_and_required(spark):
     rows = spark.createDataFrame([(123456789, 1.0, 2.0), (5, 91.0, 2.0), (None, 1.0, 181.0)], "mmsi long, lat double, lon double")
     got = {r["mmsi"]: r["reasons"] for r in messages.rejected(rows).collect()}
     assert got == {5: ["mmsi", "lat"], None: ["mmsi", "lon"]}
-    with pytest.raises(Exception, match="invalid stop of vessel 5"):
-        messages.require_valid(rows).collect()
+    for key, name in ((5, "5"), (None, "null")):
+        with pytest.raises(Exception, match=f"invalid stop of vessel {name}"):
+            messages.require_valid(rows.where(rows["mmsi"].eqNullSafe(F.lit(key)))).collect()
+    assert messages.require_valid(rows.where("mmsi > 5")).count() == 1
+
+
+def test_scratch_folder(spark):
+    assert session.is_local("local[4]") and not session.is_local("local-cluster[2,1,1024]") and not session.is_local("spark://h:7077")
+    df = spark.range(10)
+    assert session.measured(df) == 10 * session.ROW_BYTES + 10
+    for limit, marked in ((10**6, True), (10, False)):
+        plan = session.broadcast_within(df, limit)._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan) == marked
+    out = session.materialise(df, "t")
+    assert out.count() == 10 and spark.sparkContext.applicationId in out.inputFiles()[0]
+    session.drop_scratch(spark)
+    with pytest.raises(Exception, match="FAILED_READ_FILE|PATH_NOT_FOUND|does not exist"):
+        out.collect()
 
 
 def test_command_line():

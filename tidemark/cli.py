@@ -8,7 +8,7 @@ import logging
 
 from tidemark.config import load_config, s3_options
 from tidemark.plans import pipeline
-from tidemark.session import spark_session
+from tidemark.session import drop_scratch, spark_session
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,12 +36,16 @@ def main(argv: list[str] | None = None):
         cfg = dataclasses.replace(cfg, data=cfg.data | {"raw_glob": args.raw_glob})
     if getattr(args, "existing_db", None):
         cfg = dataclasses.replace(cfg, match=dataclasses.replace(cfg.match, existing_db_path=args.existing_db))
-    spark = spark_session(cfg.spark.get("app_name", "tidemark"), s3_options(cfg.s3))
+    shared = {"spark.checkpoint.dir": cfg.spark["checkpoint_dir"]} if cfg.spark.get("checkpoint_dir") else {}
+    spark = spark_session(cfg.spark.get("app_name", "tidemark"), s3_options(cfg.s3) | shared)
     tables = lambda: (spark.read.parquet(args.cities), spark.read.parquet(args.countries))
-    if args.phase == "all":
-        return pipeline.run_all(spark, cfg, *tables())
-    run = getattr(pipeline, f"run_{args.phase}")
-    return run(spark, cfg, *(tables() if args.phase == "phase4" else ()))
+    try:
+        if args.phase == "all":
+            return pipeline.run_all(spark, cfg, *tables())
+        run = getattr(pipeline, f"run_{args.phase}")
+        return run(spark, cfg, *(tables() if args.phase == "phase4" else ()))
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

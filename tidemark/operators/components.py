@@ -8,7 +8,7 @@ list is ever gathered in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.session import materialise
@@ -28,9 +28,11 @@ def _small_star(e: DataFrame) -> DataFrame:
     return near.unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
 
 
-def _state(e: DataFrame) -> tuple:
-    row = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _round(e: DataFrame) -> tuple[DataFrame, tuple]:
+    """``e`` written out, with its size and a digest of its rows, which are observed while it is written."""
+    seen = Observation()
+    out = materialise(e.observe(seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")), "edges")
+    return out, (seen.get["n"], seen.get["x"])
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -41,13 +43,12 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
     loops = e.where("u = v").select("u").distinct()
-    e = materialise(e.where("u <> v").distinct(), "edges")
-    state = _state(e)
+    e, state = _round(e.where("u <> v").distinct())
     while state[0]:
-        e = materialise(_small_star(_large_star(e)), "edges")
-        before, state = state, _state(e)
-        if before == state:
+        (e, new), before = _round(_small_star(_large_star(e))), state
+        if new == before:
             break
+        state = new
     # Each node now points at its root, and roots point nowhere.
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component"))
     found = e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def spark_session(app_name: str = "tidemark", conf: dict[str, str] | None = None) -> SparkSession:
@@ -31,7 +32,8 @@ def spark_session(app_name: str = "tidemark", conf: dict[str, str] | None = None
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where a session names none (single-machine tests) is a local folder made.
+    Only a session on one machine that names none (tests) gets a local folder; on a
+    cluster, where each executor would write to its own disk, that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -39,11 +41,23 @@ def scratch_dir(spark: SparkSession) -> str:
     have = spark.sparkContext._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get().rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     spark.sparkContext.setCheckpointDir(made)
     return made
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
+def work_dir(spark: SparkSession) -> str:
+    """This application's own part of the scratch folder."""
+    return f"{scratch_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
@@ -51,13 +65,37 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     any executor can read it after another is lost.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete everything :func:`materialise` wrote.  Call once results are stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/tidemark")
+    """Delete everything this application wrote with :func:`materialise`, if anything.  Call once results are stored."""
+    try:
+        work_dir(spark)
+    except ValueError:  # no folder, so nothing was written
+        return
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Most bytes of a table that is sent to every executor.
+BROADCAST_BYTES = 64 << 20
+#: What a row of a broadcast hash table takes besides its values.
+ROW_BYTES = 64
+
+
+def measured(df: DataFrame) -> int:
+    """About how many bytes ``df`` takes as a broadcast hash table: its values as text, and ``ROW_BYTES`` a row."""
+    size = F.octet_length(F.concat_ws("", *[df[c].cast("string") for c in df.columns]))
+    row = df.agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
+    return row["n"] * ROW_BYTES + (row["b"] or 0)
+
+
+def broadcast_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if it was measured to take ``limit`` bytes at most; otherwise its join shuffles.
+
+    ``df`` is read for it, so it should be cheap to read: a materialised table.
+    """
+    return F.broadcast(df) if measured(df) <= limit else df
