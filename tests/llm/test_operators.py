@@ -139,12 +139,106 @@ def test_near_duplicates_against_brute_force(spark):
 def test_one_of_each_group_stays(spark):
     base = " ".join(f"w{i}" for i in range(50))
     d = docs(spark, [base, base.upper(), base + " more", "other words here", None, None])
-    d = d.unionByName(d.where("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")))
+    d = d.unionByName(d.where("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long")))  # a copy without an id
     kept = near_dedup.keep_one(d)
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 0), (False, 3), (False, 4), (False, 5), (True, 0)]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 3, 4, 5]
     assert kept.columns == d.columns
 
 
+def repeated_ids():
+    a, b = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(40))
+    near = a.replace("w30", "x30").replace("w31", "y31")
+    rows = [(3, a), (5, a), (5, b), (9, "other words"), (5, b), (5, b.upper()), (None, near), (None, "nobody else"), (None, "nobody else"), (7, ""), (7, None)]
+    return rows, [DEFAULTS(i, t) for i, t in rows]
+
+
+def DEFAULTS(i, t):
+    return (i, t, "en", "s", len(t or ""))
+
+
+def test_repeated_ids_are_documents_of_their_own(spark):
+    rows, full = repeated_ids()
+    d = spark.createDataFrame(full, DOCS).transform(clash)
+    of = brute_components([t for _, t in rows])
+    want = []
+    for k, (i, _) in enumerate(rows):
+        ids = [rows[j][0] for j in of if of[j][1] == of[k][1] and rows[j][0] is not None]
+        c = min(ids, default=None) if of[k][0] else i
+        want.append((i, of[k][0], c, i == c))
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], str(r[2]))
+    got = sorted(map(tuple, near_dedup.near_components(d).collect()), key=order)
+    assert got == sorted(want, key=order)
+    for most in (near_dedup.BROADCAST_BYTES, 0):
+        out = near_dedup.keep_one(d, most)
+        assert out.columns == d.columns
+        kept = [(r["doc_id"], (r["text"] or "").lower()) for r in out.collect()]
+        assert sorted(kept, key=str) == sorted([(3, rows[0][1]), (5, rows[2][1]), (9, "other words"), (None, "nobody else"), (7, ""), (7, "")], key=str)
+
+
+def test_the_sql_of_near_duplicates_agrees(spark):
+    import duckdb
+
+    rows, full = repeated_ids()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = [tuple(r) for r in near_dedup.near_components(spark.createDataFrame(full, DOCS)).collect()]
+    assert sorted(con.execute(near_dedup.SQL).fetchall(), key=str) == sorted(got, key=str)
+
+
+def test_many_repeated_rows(spark):
+    a = " ".join(f"w{i}" for i in range(30))
+    d = spark.range(10_000).select((F.col("id") % 2).alias("doc_id"), F.when(F.col("id") % 2 == 0, a).otherwise(a + " z").alias("text"))
+    got = near_dedup.near_components(d).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert {tuple(r) for r in got} == {(0, 0, True, 5000), (1, 0, False, 5000)}
+    assert near_dedup.keep_one(d).count() == 1
+
+
+def test_links_that_stars_miss(spark):
+    """Chains: neighbours are similar, and the least member of a bucket reaches only some of it."""
+    rng = random.Random(8)
+    texts = []
+    for c in range(6):
+        words = [f"c{c}-{i}" for i in range(100)]
+        for step in range(30):
+            texts.append(" ".join(words))
+            for k in rng.sample(range(100), 5):
+                words[k] = f"c{c}-s{step}-{k}"
+    rng.shuffle(texts)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_components(docs(spark, texts)).collect()}
+    assert got == brute_components(texts)
+
+
+def test_rarest_shingles_lose_no_link(spark):
+    rng = random.Random(9)
+    sets = []
+    for g in range(12):
+        base = rng.sample(range(g * 60, g * 60 + 160), 80)
+        for _ in range(12):
+            keep = [x for x in base if rng.random() > 0.08]
+            sets.append(sorted({*keep, *rng.sample(range(2000), rng.randint(0, 8))}))
+    sets += [[1], [1, 2], [1, 2, 3, 4, 5]]
+    label = [rng.randrange(6) for _ in sets]
+    df = spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>")
+    left = spark.createDataFrame([(i, len(s), label[i]) for i, s in enumerate(sets)], "node long, n long, l long")
+    got = {tuple(r) for r in near_dedup._rest(left, df).collect()}
+    want = set()
+    for i in range(len(sets)):
+        for j in range(i):
+            a, b = set(sets[i]), set(sets[j])
+            if label[i] != label[j] and 100 * len(a & b) >= 80 * len(a | b):
+                want.add((i, j))
+    assert want and want <= got and all(label[a] != label[b] and a > b for a, b in got)
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = random.Random(10)
+    text = " ".join(rng.choice(["aa", "Bb\t", "ü", "ccc\n"]) for _ in range(3000)).encode()
+    whole = near_dedup.shingle_set(text, near_dedup._Words())
+    monkeypatch.setattr(near_dedup, "PIECE", 64)
+    assert (near_dedup.shingle_set(text, near_dedup._Words()) == whole).all() and len(near_dedup._hashes(b" \n", {})) == 0
+
+
 def test_signature_fills_all_bins():
     edges, probes = near_dedup._edges(near_dedup.BINS), near_dedup._probes(near_dedup.BINS)
     seen = near_dedup._Words()
