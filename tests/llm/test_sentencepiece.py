@@ -16,6 +16,7 @@ def chunked(pieces, s, size, words):
     parts = [(s[max(0, b - ctx) : b + size], min(b, ctx), b + size >= len(s)) for b in cuts]
     mats = [S.matrix(pieces, *p) for p in parts]
     nodes = S.boundaries(mats)
+    assert S.best_exit(S.folded(mats)) == nodes[-1] and nodes == S.boundaries(mats, S.START, S.best_exit(S.folded(mats)))
     got = []
     for (t, b, _), i, j in zip(parts, nodes, nodes[1:]):
         got += S.trace(pieces, t, b, i, j, words)
@@ -64,3 +65,21 @@ def test_unigram_scores_give_the_best_path():
         names = {i: p for p, i in ids.items()}
         assert "".join(names[i] for i in got) == s
         assert sum(scores[names[i]] for i in got) == pytest.approx(best[n])
+
+
+def test_trees_of_every_height_give_the_library_encoding(spark, enc):
+    rng = random.Random(7)
+    many = [*texts(), "the quick brown fox " * 900, "漢字かな" * 300, " " * 400 + "x" * 400]
+    many += ["".join(rng.choice(["word ", "tion", "\n", "é"]) for _ in range(n)) for n in (2000, 6000)]
+    rows = [(i % 9, t) for i, t in enumerate(many)] + [(None, many[0]), (3, many[3]), (3, many[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # The model does not tell a space from the mark, so a text with marks does not come back.
+    want = sorted(((i, tuple(enc.sp.encode(t)), S.MARK not in t) for i, t in rows), key=str)
+    for fan, most in ((2, S.BROADCAST_BYTES), (16, 0)):
+        got = S.encode(df, giant=100, chunk=90, fan=fan, max_broadcast=most).collect()
+        assert sorted(((r["doc_id"], tuple(r["ids"]), r["round_trip"]) for r in got), key=str) == want
+
+
+def test_the_query_reads_giant_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert docs.where(f"length(text) > {S.GIANT}").count() > 0  # so the scan is part of the query at every size

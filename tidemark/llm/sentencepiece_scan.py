@@ -3,32 +3,36 @@
 A segmentation is a path through a lattice whose nodes are pieces at places in
 the text.  A chunk of text is a max-plus matrix: its rows are the last pieces that
 can end at or before the chunk's start, its columns those at its end, its entries
-the best path weight between them.  Matrices combine associatively, so chunks are
-read independently; one scan over the small matrices of a document fixes the
-pieces at every boundary; then each chunk backtraces its own path.
+the best path weight between them.  Chunks are read independently.  As matrices
+combine associatively, ``FAN`` neighbours at a time become one, level by level, until
+one is left for a document; on the way back down, each block whose first and last
+piece are known fixes those at the boundaries of its ``FAN`` parts.  Then each chunk
+backtraces its own path.  No task ever holds more than ``FAN`` matrices of a document.
 
 Arc weights depend on the model:
 
 * unigram models: the score of the piece.  The best path is the model's encoding.
 * BPE models: 0 if the two neighbouring pieces are what the model makes of their
-  concatenation, else minus infinity.  A sequence is the BPE encoding of a text
+  concatenation, else minus infinity: the matrices are Boolean.  A sequence is the BPE encoding of a text
   exactly if all its neighbours agree in this way, so the only finite path is the
   model's encoding.  (Adding up the scores of a BPE model would not give it.)
 
 Where no piece can cross a place (before a word-start mark that follows another
 character) all rows of a matrix agree from there on, and the matrix has rank one.
-So the lattice is walked at the ends of a chunk only, and the library encodes the
-words in between.  Text without such places is walked whole.
+So the lattice is walked at the ends of a chunk only, and the library encodes what
+lies in between, as it does texts of up to ``GIANT`` characters, which are one chunk.
+Text without such places is walked whole, in Python.
 
 Defined results: null and empty texts have no tokens and decode to the empty
-string.  Rows are encoded one by one, repeated rows and ids included; equal giant
-texts are encoded once.  Only ``doc_id`` and ``text`` are read by name.
+string.  A text with the mark for a space (U+2581) has ``round_trip`` false: the model
+does not tell the two apart.  Rows are encoded one by one, null and repeated ids and repeated rows
+included.  An empty table gives no rows.  Only ``doc_id`` and ``text`` are read by
+name; other columns may have any.  The ids of one text have to fit in a row.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -39,18 +43,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import materialise
+from tidemark.llm.batches import slices
+from tidemark.session import BROADCAST_BYTES, broadcast_within, materialise
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters from which on a document is giant, and of a chunk.
-GIANT, CHUNK = 65_536, 16_384
-#: Most words whose pieces a worker remembers.
-CACHE = 300_000
+GIANT, CHUNK = 32_768, 8_192
+#: Matrices that are combined at a time.
+FAN = 16
+#: Neighbouring pieces whose weight a worker remembers: a few MB.
+CACHE = 20_000
+#: Bytes of text that a worker encodes at a time; ids take some 10 times that while they are lists.
+SLICE_BYTES = 1 << 20
 MARK = "▁"
 START = (0, 0)  # the node before the first piece
 
-_UNITS = re.compile(r" *[^ ]+| +$")
-
 
 class Pieces:
     """The lattice over one vocabulary.
@@ -161,9 +168,22 @@ def combine(a: list[list], b: list[list]) -> list[list]:
     return [[list(i), list(k), w] for (i, k), w in best.items()]
 
 
-def boundaries(matrices: list[list[list]]) -> list[list[int]]:
-    """The nodes at every boundary on the best path: a scan forward, then one step back a chunk."""
-    at, steps = {(0, 0): 0.0}, []
+def folded(matrices: list[list[list]]) -> list[list]:
+    """The product of neighbouring matrices, by halves."""
+    while len(matrices) > 1:
+        pairs = [combine(*matrices[i : i + 2]) for i in range(0, len(matrices) - 1, 2)]
+        matrices = pairs + matrices[2 * len(pairs) :]
+    return matrices[0]
+
+
+def best_exit(m: list[list]) -> list[int]:
+    """Where the best path through a whole document ends."""
+    return max(m, key=lambda x: x[2])[1]
+
+
+def boundaries(matrices: list[list[list]], entry: list[int] = (0, 0), exit_: list[int] | None = None) -> list[list[int]]:
+    """The nodes at every boundary on the best path from ``entry`` to ``exit_`` (the best one if not given)."""
+    at, steps = {tuple(entry): 0.0}, []
     for m in matrices:
         new: dict = {}
         for i, j, w in m:
@@ -172,7 +192,7 @@ def boundaries(matrices: list[list[list]]) -> list[list[int]]:
                 new[j] = (at[i] + w, i)
         steps.append(new)
         at = {j: w for j, (w, _) in new.items()}
-    node = max(at, key=lambda j: at[j])
+    node = tuple(exit_) if exit_ is not None else max(at, key=lambda j: at[j])
     out = [node]
     for new in reversed(steps):
         node = new[node][1]
@@ -204,7 +224,7 @@ def trace(m: Pieces, s: str, b: int, entry: list[int], exit_: list[int], words)
 
 
 class Encoder:
-    """The library's model, its lattice, and a memory of encoded words."""
+    """The library's model and its lattice."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -219,25 +239,12 @@ class Encoder:
         # A line feed is in no piece, so what follows it is encoded as if on its own, without a word start.
         plain = lambda u: sp.encode("\n" + u.replace(MARK, " "))[2:]
         self.pieces = Pieces(ids, plain, unknown=lambda c: [byte[x] for x in c.encode()])
-        self.words: dict[str, list[int]] = {}
-
-    def _keys(self, text: str) -> list[str]:
-        """Words with all but one of the spaces before them: the library puts one back."""
-        units = _UNITS.findall(text.replace(MARK, " "))  # the model does not tell the two apart
-        return units[:1] + [u[1:] for u in units[1:]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        keys = [self._keys(t) for t in texts]
-        self.words[""] = self.pieces.tokens(MARK)  # one last space; the library drops an empty text's
-        new = [k for k in set(chain.from_iterable(keys)) if k not in self.words]
-        if len(self.words) + len(new) > CACHE:
-            self.words = {"": self.words[""]}
-            new = list(set(chain.from_iterable(keys)) - {""})
-        self.words.update(zip(new, self.sp.encode(new, num_threads=1), strict=True))
-        return [np.fromiter(chain.from_iterable(map(self.words.__getitem__, k)), np.int32) for k in keys]
+        return [np.array(x, np.int32) for x in self.sp.encode(texts, num_threads=1)] if texts else []
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.sp.decode(ids) if ids else []
+        return self.sp.decode(ids, num_threads=1) if ids else []
 
 
 @lru_cache(maxsize=2)
@@ -256,19 +263,6 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
 
 
-def _slices(batch: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most`` characters, so that a batch of long texts stays bounded."""
-    size = np.array([len(x.as_buffer() or b"") if x.is_valid else 0 for x in batch.column(column).cast(pa.large_binary())]) if len(batch) else []
-    start, total = 0, 0
-    for i, n in enumerate(size):
-        if total and total + n > most:
-            yield start, i
-            start, total = i, 0
-        total += int(n)
-    if start < len(size):
-        yield start, len(size)
-
-
 def _whole(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` with ``ids`` and ``round_trip``, text by text."""
     schema = T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
@@ -277,8 +271,7 @@ def _whole(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
-            for a, z in _slices(batch, at):
-                part = batch.slice(a, z - a)
+            for part in slices(batch, at, SLICE_BYTES):
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 ids = enc.encode(texts)
                 back = enc.decode([x.tolist() for x in ids])
@@ -288,45 +281,84 @@ def _whole(docs: DataFrame, model: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _giant(docs: DataFrame, model: str, chunk: int) -> DataFrame:
-    """``key`` (digest of a text) and ``ids`` for each distinct text of ``docs``."""
-    texts = docs.select(F.sha2("text", 256).alias("key"), "text").dropDuplicates(["key"])
+def _chunks(rows: DataFrame, model: str, chunk: int) -> DataFrame:
+    """``uid`` (a number for each row of ``rows``), ``k`` and ``s`` with ``b`` characters of context, per chunk.
+
+    The first chunk also has ``doc_id``, ``n_chars`` and a ``digest`` of the text.
+    """
     overlap = 2 * encoder(model).pieces.longest
     s = F.concat(F.lit(MARK), F.replace(F.col("text"), F.lit(" "), F.lit(MARK)))
-    n = F.ceil(F.length("s") / chunk).cast("int")
-    cut = texts.select("key", s.alias("s")).select("key", "s", n.alias("n")).select("key", "s", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
+    each = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("digest"), s.alias("s"), F.monotonically_increasing_id().alias("uid"))
+    each = each.withColumn("n", F.ceil(F.length("s") / chunk).cast("int"))
+    cut = each.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("k"))
     left = F.least(F.lit(overlap), F.col("k") * chunk)
+    once = [F.when(F.col("k") == 0, F.col(c)).alias(c) for c in ("doc_id", "n_chars", "digest")]
     cut = cut.select(
-        "key", "k", (F.col("k") == F.col("n") - 1).alias("last"), left.cast("int").alias("b"),
-        F.substring("s", F.col("k") * chunk - left + 1, F.lit(chunk) + left).alias("s"),
+        "uid", "k", "n", (F.col("k") == F.col("n") - 1).alias("last"), left.cast("int").alias("b"),
+        F.substring("s", F.col("k") * chunk - left + 1, F.lit(chunk) + left).alias("s"), *once,
     )
-    cut = materialise(cut, "chunks").repartition("key", "k")
+    return materialise(cut.repartition("uid", "k"), "chunks")
 
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = encoder(model).pieces
-        for batch in batches:
-            key, k, last, b, s = (batch.column(i).to_pylist() for i in range(5))
-            made = [json.dumps(matrix(m, *x)) for x in zip(s, b, last, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(k, pa.int32()), pa.array(made)], names=["key", "k", "m"])
 
-    def scan(table: pa.Table) -> pa.Table:
+def _ends(matrices: DataFrame, levels: int, fan: int) -> DataFrame:
+    """``uid, k, ends``: the nodes at both ends of every chunk, from ``uid, k, m``: up the tree, and down again."""
+
+    def ordered(table: pa.Table) -> tuple[pa.Table, list]:
         t = table.sort_by("k")
-        nodes = boundaries([json.loads(x) for x in t.column("m").to_pylist()])
+        return t, [json.loads(x) for x in t.column("m").to_pylist()]
+
+    def up(table: pa.Table) -> pa.Table:
+        t, ms = ordered(table)
+        return pa.table({"uid": t.column("uid")[:1], "k": pa.array([t.column("k")[0].as_py() // fan], pa.int32()), "m": [json.dumps(folded(ms))]})
+
+    def down(table: pa.Table) -> pa.Table:
+        t, ms = ordered(table)
+        nodes = boundaries(ms, *json.loads(t.column("ends")[0].as_py()))
         pairs = [json.dumps(x) for x in zip(nodes, nodes[1:], strict=False)]
-        return pa.table({"key": t.column("key"), "k": t.column("k"), "ends": pa.array(pairs)})
+        return pa.table({"uid": t.column("uid"), "k": t.column("k"), "ends": pa.array(pairs)})
+
+    block = (F.col("k") / fan).cast("int")
+    tree = [matrices]
+    for _ in range(levels):
+        made = tree[-1].groupBy("uid", block.alias("block")).applyInArrow(up, "uid long, k int, m string")
+        tree.append(materialise(made, "matrices"))
+    ends = tree[-1].select("uid", "k", F.udf(lambda m: json.dumps([START, best_exit(json.loads(m))]))("m").alias("ends"))
+    for below in reversed(tree[:-1]):
+        known = ends.select(F.col("uid").alias("u_"), F.col("k").alias("k_"), "ends")
+        parts = below.join(known, (F.col("uid") == F.col("u_")) & (block == F.col("k_"))).select("uid", "k", "m", "ends")
+        ends = parts.groupBy("uid", block.alias("block")).applyInArrow(down, "uid long, k int, ends string")
+    return ends
+
+
+def _giant(rows: DataFrame, model: str, chunk: int, fan: int, max_broadcast: int) -> DataFrame:
+    """``doc_id, n_chars, ids, round_trip`` of every row of ``rows``, chunk by chunk."""
+    cut = _chunks(rows, model, chunk)
+    most = cut.agg(F.max("n")).first()[0] or 1  # chunks of the longest text
+    levels = next(h for h in range(1, 64) if fan**h >= most)
+
+    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = encoder(model).pieces
+        for batch in (part for whole in batches for part in slices(whole, 4, SLICE_BYTES)):
+            uid, k, last, b, s = (batch.column(i) for i in range(5))
+            made = [json.dumps(matrix(m, *x)) for x in zip(s.to_pylist(), b.to_pylist(), last.to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([uid, k, pa.array(made, pa.string())], names=["uid", "k", "m"])
 
     def traces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         words = lambda text: enc.encode([text])[0].tolist()
-        for batch in batches:
-            key, k, b, s, ends = (batch.column(i).to_pylist() for i in range(5))
+        for batch in (part for whole in batches for part in slices(whole, 3, SLICE_BYTES)):
+            b, s, ends = (batch.column(i).to_pylist() for i in (2, 3, 4))
             ids = [np.array(trace(enc.pieces, x, y, *json.loads(z), words), np.int32) for x, y, z in zip(s, b, ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(k, pa.int32()), _lists(ids)], names=["key", "k", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(ids)], names=["uid", "k", "ids"])
 
-    small = cut.mapInArrow(matrices, "key string, k int, m string")
-    fixed = small.groupBy("key").applyInArrow(scan, "key string, k int, ends string")
-    parts = cut.join(fixed, ["key", "k"]).select("key", "k", "b", "s", "ends").mapInArrow(traces, "key string, k int, ids array<int>")
-    return parts.groupBy("key").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
+    small = materialise(cut.select("uid", "k", "last", "b", "s").mapInArrow(matrices, "uid long, k int, m string"), "matrices")
+    ends = materialise(_ends(small, levels, fan), "ends").withColumnsRenamed({"uid": "u_", "k": "k_"})
+    parts = cut.join(broadcast_within(ends, max_broadcast), (F.col("uid") == F.col("u_")) & (F.col("k") == F.col("k_")))
+    parts = parts.select("uid", "k", "b", "s", "ends").mapInArrow(traces, "uid long, k int, ids array<int>")
+    ids = parts.groupBy("uid").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("k", "ids"))), lambda x: x["ids"])).alias("ids"))
+    first = cut.where("k = 0").select(F.col("uid").alias("u_"), "doc_id", "n_chars", "digest")
+    back = decode(ids.join(first, F.col("uid") == F.col("u_")).select("doc_id", "n_chars", "digest", "ids"), model)
+    return back.select("doc_id", "n_chars", "ids", (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"))
 
 
 def decode(df: DataFrame, model: str = MODEL, column: str = "ids") -> DataFrame:
@@ -337,24 +369,21 @@ def decode(df: DataFrame, model: str = MODEL, column: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
-            back = enc.decode([x or [] for x in batch.column(at).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back, pa.string())], names=schema.names)
+            for i in range(0, batch.num_rows, 100):
+                part = batch.slice(i, 100)
+                back = enc.decode([x or [] for x in part.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(back, pa.string())], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK, fan: int = FAN, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id, n_chars, n_tokens, ids, round_trip`` for every row of ``docs``."""
-    rows = docs.select("doc_id", F.col("text"))
-    big = F.coalesce(F.length("text"), F.lit(0)) > giant
-    short = _whole(rows.where(~big), model)
-    long = rows.where(big).withColumn("own", F.sha2("text", 256))
-    long = long.join(_giant(rows.where(big), model, chunk), F.col("own") == F.col("key")).select("doc_id", "text", "ids")
-    long = decode(long, model).withColumn("round_trip", F.col("decoded") == F.col("text")).drop("decoded")
+    rows = docs.select("doc_id", "text")
     n = F.coalesce(F.length("text"), F.lit(0)).cast("long")
-    return short.unionByName(long).select(
-        "doc_id", n.alias("n_chars"), F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip"
-    )
+    short = _whole(rows.where(n <= giant), model).select("doc_id", n.alias("n_chars"), "ids", "round_trip")
+    out = short.unionByName(_giant(rows.where(n > giant), model, chunk, fan, max_broadcast))
+    return out.select("doc_id", "n_chars", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
