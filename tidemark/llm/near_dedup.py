@@ -6,7 +6,9 @@
    least hash of each.  An empty bin copies the value of a bin picked by a hash
    of (bin, attempt), the optimal densification of Shrivastava (ICML 2017).
 3. ``ROWS`` bins make a band.  Nodes that agree on a band share a bucket, and each
-   bucket links its members to its least node only: a star.
+   bucket links its members to one of them only: a star.  Its centre is the node that
+   meets most others over all its buckets, so of many copies the one with least of
+   its own, which nearly all others are similar to.
 4. Star edges are confirmed on the full sets and joined to components.
 5. A star can miss a link between two members that its centre does not reach.  So
    the nodes of buckets that still hold several components are joined once more,
@@ -225,7 +227,7 @@ def _rest(left: DataFrame, sets: DataFrame) -> DataFrame:
     """
     p = PERCENT
     each = sets.join(left, "node").select("node", "n", "l", F.explode("shingles").alias("h"))
-    often = each.groupBy(F.col("h").alias("h_")).agg(F.count("*").alias("df")).where("df > 1")
+    often = materialise(each.groupBy(F.col("h").alias("h_")).agg(F.count("*").alias("df")).where("df > 1"), "often")
     shared = each.join(often, F.col("h") == F.col("h_"))
     ranked = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("l").alias("l"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
     ahead = F.col("n") - F.size("s")  # shingles of this node only come first
@@ -236,6 +238,7 @@ def _rest(left: DataFrame, sets: DataFrame) -> DataFrame:
     ), "prefixes")
     labels = places.groupBy("h", "l").agg(F.count("*").alias("c")).groupBy(F.col("h").alias("h_"))
     main = labels.agg(F.max(F.struct("c", "l"))["l"].alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    main = materialise(main, "main")
     posts = places.join(main, F.col("h") == F.col("h_")).select("node", "n", "l", "p", "h", (F.col("l") == F.col("main")).alias("m"))
     posts = materialise(posts, "postings")
     x, y = (posts.select("h", *[F.col(c).alias(f"{c}{i}") for c in ("node", "n", "l", "p", "m")]) for i in "ab")
@@ -252,13 +255,15 @@ def _labelled(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFram
     sigs = materialise(signatures(docs), "signatures")
     nodes = _nodes(sigs)
     rows = nodes.select("node", "n", F.explode("bands").alias("key"))
-    centre = rows.groupBy(F.col("key").alias("key_")).agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("members"))
-    # Written apart, so that the join on a bucket that many nodes share can be split.
-    centre = materialise(centre.where("members > 1").select("key_", F.col("c.node").alias("c_node"), F.col("c.n").alias("c_n")), "centres")
-    buckets = materialise(rows.join(centre, F.col("key") == F.col("key_")).drop("key_"), "buckets")
+    # Written apart, here and below, so that a join on a bucket that many nodes share can be split.
+    several = materialise(rows.groupBy(F.col("key").alias("key_")).agg(F.count("*").alias("members")).where("members > 1"), "several")
+    buckets = materialise(rows.join(several, F.col("key") == F.col("key_")).drop("key_"), "buckets")
+    met = buckets.groupBy(F.col("node").alias("node_")).agg(F.sum("members").alias("met"))
+    ranked = buckets.join(met, F.col("node") == F.col("node_")).groupBy(F.col("key").alias("key_"))
+    centre = materialise(ranked.agg(F.max(F.struct("met", "node", "n")).alias("c")).select("key_", F.col("c.node").alias("c_node"), F.col("c.n").alias("c_n")), "centres")
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("r.doc_id").alias("r_id"), F.col("r.t_hash").alias("r_hash"))
     sets = sets_of(docs, materialise(wanted, "wanted"), max_broadcast)
-    star = buckets.where((F.col("node") != F.col("c_node")) & _close("n", "c_n"))
+    star = buckets.join(centre, F.col("key") == F.col("key_")).where((F.col("node") != F.col("c_node")) & _close("n", "c_n"))
     stars = materialise(star.select(F.col("node").alias("a"), F.col("c_node").alias("b")).distinct(), "stars")
     links = materialise(confirmed(stars, sets), "links")
     comp = materialise(connected_components(links, "a", "b"), "components")
