@@ -433,22 +433,23 @@ def test_sibling_statistics_at_every_size(n):
     assert np.isclose(sum(x[i][at["share"]] for i, k in enumerate(nodes) if k.parent is not None and k.parent.tag == "body"), 1)
 
 
-def test_warc(spark, tmp_path):
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_warc(spark, tmp_path, most):
     rows = [("u1", "same"), ("u2", "same"), ("u3", None), ("u4", "ü"), ("u5\r\nX: y", "same"), ("u6", "")]
     p = pages(spark, rows)
     p = p.unionByName(p.where("page_id = 4")).transform(clash)  # the last copy, twice
     path = str(tmp_path / "a")
-    warc.write_archive(p, path)
-    got = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"]) for r in warc.index(spark, path).collect()))
+    warc.write_archive(p, path, max_broadcast=most)
+    got = sorted(((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"]) for r in warc.index(spark, path, most).collect()))
     digest = lambda t: base64.b32encode(hashlib.sha1((t or "").encode()).digest()).decode()
     kind = {0: ("revisit", 4), 1: ("revisit", 4), 2: ("revisit", 5), 3: ("response", None), 4: ("response", None), 5: ("response", None)}
     assert got == [(i, *kind[i], len((rows[i][1] or "").encode()), digest(rows[i][1])) for i in (0, 1, 2, 3, 4, 4, 5)]
     assert spark.read.parquet(f"{path}/payloads").count() == 3
-    back = warc.read_archive(spark, path)
+    back = warc.read_archive(spark, path, most)
     assert {r["page_id"]: bytes(r["payload"]).decode() for r in back.collect()} == {i: h or "" for i, (_, h) in enumerate(rows)}
     records = {r["page_id"]: bytes(r["record"]) for r in warc.warc_records(back).collect()}
     assert records[3].startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and records[3].endswith(b"Content-Length: 2\r\n\r\n\xc3\xbc\r\n\r\n")
-    assert b"WARC-Refers-To: <urn:page:4>" in records[0] and b"\r\nX: y" not in records[4]
+    assert b"WARC-Refers-To: <urn:page:4>" in records[0] and b"WARC-Target-URI: u5%0D%0AX: y\r\n" in records[4]
     warc.write_archive(p.limit(0), str(tmp_path / "b"))
     assert warc.index(spark, str(tmp_path / "b")).count() == 0
 
@@ -458,8 +459,12 @@ def test_damaged_archive_is_refused(spark, tmp_path):
     good = spark.read.parquet(f"{tmp_path}/a/payloads")
     good.withColumn("payload", F.encode(F.lit("y"), "utf-8")).write.parquet(f"{tmp_path}/c/payloads")
     spark.read.parquet(f"{tmp_path}/a/records").write.parquet(f"{tmp_path}/c/records")
-    with pytest.raises(Exception, match="payload missing or damaged"):
-        warc.read_archive(spark, f"{tmp_path}/c").collect()
+    good.where("false").write.parquet(f"{tmp_path}/d/payloads")
+    spark.read.parquet(f"{tmp_path}/a/records").write.parquet(f"{tmp_path}/d/records")
+    for which in "cd":
+        for most in (10**6, 0):
+            with pytest.raises(Exception, match="payload missing or damaged"):
+                warc.read_archive(spark, f"{tmp_path}/{which}", most).collect()
 
 
 def test_wrong_digest_in_a_header_is_refused(spark, tmp_path):

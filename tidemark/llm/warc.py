@@ -10,57 +10,43 @@ largest page id is a response and the others revisit it; smaller payloads are al
 responses.
 
 Defined results: a null html is an empty payload; a null url is written as an
-empty target.  Null page ids count as smallest.  Rows that repeat the largest id
+empty target; line breaks in a url, which would end its header line, are written as
+%0D and %0A.  Null page ids count as smallest.  Rows that repeat the largest id
 and its payload are responses all.  An empty table gives an empty archive.  Only
-``page_id``, ``url`` and ``html`` are read; other columns may have any name.
+``page_id``, ``url`` and ``html`` are read; other columns may have any name.  A long
+payload has to fit in a row.
 """
 
 from __future__ import annotations
 
-import base64
-import hashlib
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.session import materialise, scratch_dir
+from tidemark.session import BROADCAST_BYTES, broadcast_within, materialise, measured, work_dir
 
 MIN_BYTES = 0
-#: Most digests in a broadcast, about 200 bytes each; beyond it payloads are shuffled.
-MAX_BROADCAST_DIGESTS = 500_000
 DATE = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 
 
-def digests(pages: DataFrame) -> DataFrame:
-    """``page_id, url, payload, address`` (SHA-256), ``sha1`` (bare base32) and ``payload_bytes``."""
-    kind = pages.schema["page_id"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("page_id", kind),
-            T.StructField("url", T.StringType()),
-            T.StructField("payload", T.BinaryType()),
-            T.StructField("address", T.StringType()),
-            T.StructField("sha1", T.StringType()),
-            T.StructField("payload_bytes", T.LongType()),
-        ]
-    )
+def _base32(sha1: Column) -> Column:
+    """40 hex digits in base32: ten of them are eight of its characters."""
+    part = lambda i: F.lpad(F.conv(F.substring(sha1, 10 * i + 1, 10), 16, 32), 8, "0")
+    return F.translate(F.concat(*map(part, range(4))), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            body = [x or b"" for x in b.column(2).to_pylist()]
-            strong = [hashlib.sha256(x).hexdigest() for x in body]
-            weak = [base64.b32encode(hashlib.sha1(x).digest()).decode() for x in body]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(body, pa.binary()), pa.array(strong), pa.array(weak), pa.array(map(len, body), pa.int64())],
-                names=schema.names,
-            )
 
-    return pages.select("page_id", "url", F.col("html").cast("binary").alias("html")).mapInArrow(run, schema)
+def _payload() -> Column:
+    return F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
+
+
+def digests(pages: DataFrame) -> DataFrame:
+    """``page_id, url, address`` (SHA-256), ``sha1`` (bare base32) and ``payload_bytes``."""
+    body = pages.select("page_id", "url", _payload().alias("b"))
+    return body.select(
+        "page_id", "url", F.sha2("b", 256).alias("address"), _base32(F.sha1("b")).alias("sha1"), F.octet_length("b").cast("long").alias("payload_bytes")
+    )
 
 
 def _header() -> Column:
@@ -73,7 +59,7 @@ def _header() -> Column:
         line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", name("page_id")),
         line("WARC-Date", F.lit(DATE)),
-        line("WARC-Target-URI", F.coalesce(F.regexp_replace("url", r"[\r\n]+", ""), F.lit(""))),
+        line("WARC-Target-URI", F.coalesce(F.replace(F.replace("url", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")), F.lit(""))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, line("WARC-Refers-To", name("refers_to"))).otherwise(F.lit("")),
         F.when(revisit, line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).otherwise(F.lit("")),
@@ -82,60 +68,53 @@ def _header() -> Column:
     )
 
 
-def write_archive(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
+def write_archive(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, max_broadcast: int = BROADCAST_BYTES) -> None:
     """Write ``path/records`` and ``path/payloads``.
 
-    Digests are aggregated without the payloads.  Only rows that are the response
-    of their digest keep the payload; while the digests are few enough to
-    broadcast, payloads are not shuffled at all.
+    Payloads are hashed once for the digest table, all of whose joins are without
+    them.  Only rows that are the response of their digest keep the payload; while the
+    digests are few enough to broadcast, payloads are not shuffled at all.
     """
-    each = digests(pages)
     kind = pages.schema["page_id"].dataType
-    slim = each.select("page_id", "url", "address", "sha1", "payload_bytes")
-    last = materialise(slim.groupBy(F.col("address").alias("of")).agg(F.max("page_id").alias("last")), "digests")
-    known = slim.join(last, F.col("address") == F.col("of")).drop("of")
+    each = materialise(digests(pages), "digests")
+    last = each.groupBy(F.col("address").alias("of")).agg(F.max("page_id").alias("last"))
+    last = materialise(last, "responses")
+    known = each.join(last, F.col("address") == F.col("of")).drop("of")
     revisit = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("last"))
     known = known.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
     known = known.withColumn("refers_to", F.when(revisit, F.col("last")).otherwise(F.lit(None).cast(kind)))
     known.select("page_id", _header().alias("header"), "address").write.parquet(f"{path}/records")
     own = (F.col("address") == F.col("of")) & F.col("page_id").eqNullSafe(F.col("last"))
-    n = last.count()
-    few = F.broadcast(last) if n <= MAX_BROADCAST_DIGESTS else last
-    keep = each.select("page_id", "address", "payload").join(few, own, "left_semi").select("address", "payload")
-    if slim.join(last, own, "left_semi").count() > n:  # the input repeats rows
+    body = pages.select("page_id", _payload().alias("payload")).withColumn("address", F.sha2("payload", 256))
+    keep = body.join(broadcast_within(last, max_broadcast), own, "left_semi").select("address", "payload")
+    if each.join(last, own, "left_semi").count() > last.count():  # the input repeats rows
         keep = keep.dropDuplicates(["address"])
     keep.write.parquet(f"{path}/payloads")
 
 
-def _base32(sha1: Column) -> Column:
-    """40 hex digits in base32: ten of them are eight of its characters."""
-    part = lambda i: F.lpad(F.conv(F.substring(sha1, 10 * i + 1, 10), 16, 32), 8, "0")
-    return F.translate(F.concat(*map(part, range(4))), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-
-
-def _payloads(spark: SparkSession, path: str) -> DataFrame:
-    """The payload table with ``sound``, whether a payload has the digest it is kept under, and its ``weak`` digest in base32."""
-    stored = spark.read.parquet(f"{path}/payloads").withColumnRenamed("address", "of")
-    return stored.withColumn("sound", F.sha2("payload", 256) == F.col("of")).withColumn("weak", _base32(F.sha1("payload")))
-
-
-def _joined(records: DataFrame, payloads: DataFrame, *columns: str) -> DataFrame:
-    both = records.join(payloads, F.col("address") == F.col("of"), "left")
-    same = F.col("sound") & (_field("WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("weak")))
-    both = both.withColumn("sound", same)
-    wrong = F.raise_error(F.concat(F.lit("payload missing or damaged: "), F.col("address")))
-    for c in columns:
-        both = both.withColumn(c, F.when(F.coalesce("sound", F.lit(False)), F.col(c)).otherwise(wrong.cast(payloads.schema[c].dataType)))
-    return both.drop("of", "sound", "weak")
-
-
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
     """``page_id, header, payload, address`` of every record, its payload joined back and verified.
 
-    A record whose payload is missing or fails its digest raises an error: an
-    archive that does not return what it was given is of no use.
+    A record whose payload is missing or fails a digest raises an error: an archive
+    that does not return what it was given is of no use.  Payloads are verified where
+    they lie, once each.  Headers that are small together are sent to them; otherwise
+    both sides are shuffled by digest, each payload once.
     """
-    return _joined(spark.read.parquet(f"{path}/records"), _payloads(spark, path), "payload")
+    stored = spark.read.parquet(f"{path}/payloads").withColumnRenamed("address", "of")
+    stored = stored.withColumns({"sound": F.sha2("payload", 256) == F.col("of"), "weak": F.concat(F.lit("sha1:"), _base32(F.sha1("payload")))})
+    records = spark.read.parquet(f"{path}/records")
+    if measured(records) <= max_broadcast:
+        # An outer join cannot be broadcast from the side it keeps, so records without a payload are looked for apart.
+        lost = records.join(stored.select("of"), F.col("address") == F.col("of"), "left_anti").withColumns({"payload": F.lit(None).cast("binary"), "good": F.lit(False)})
+        both = stored.join(F.broadcast(records), F.col("address") == F.col("of"))
+        both = both.withColumn("good", F.col("sound") & (_field("WARC-Payload-Digest") == F.col("weak")))
+        both = both.select("page_id", "header", "address", "payload", "good").unionByName(lost)
+    else:
+        both = records.join(stored, F.col("address") == F.col("of"), "left")
+        both = both.withColumn("good", F.col("sound") & (_field("WARC-Payload-Digest") == F.col("weak")))
+    wrong = F.raise_error(F.concat(F.lit("payload missing or damaged: "), F.col("address"))).cast("binary")
+    body = F.when(F.coalesce("good", F.lit(False)), F.col("payload")).otherwise(wrong)
+    return both.select("page_id", "header", body.alias("payload"), "address")
 
 
 def warc_records(records: DataFrame) -> DataFrame:
@@ -149,30 +128,23 @@ def _field(name: str) -> Column:
     return F.regexp_extract("header", rf"\r\n{name}: ([^\r]*)\r\n", 1)
 
 
-def index(spark: SparkSession, path: str) -> DataFrame:
-    """What the records read back say of themselves, and what their payloads are.
-
-    Payloads are verified and measured where they lie, once each; only the
-    measures travel to the records.
-    """
-    facts = _payloads(spark, path).select(
-        "of", "sound", "weak", F.octet_length("payload").cast("long").alias("payload_bytes"), F.upper(F.sha1("payload")).alias("payload_sha1_hex")
-    )
-    both = _joined(spark.read.parquet(f"{path}/records"), facts, "payload_bytes", "payload_sha1_hex")
+def index(spark: SparkSession, path: str, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
+    """What the rebuilt records say of themselves, and what their payloads are."""
+    back = read_archive(spark, path, max_broadcast)
     ref = F.regexp_extract(_field("WARC-Refers-To"), r"^<urn:page:(.*)>$", 1)
-    return both.select(
+    return back.select(
         "page_id",
-        "payload_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
         _field("WARC-Type").alias("record_type"),
-        F.when(ref != "", ref).cast(both.schema["page_id"].dataType).alias("refers_to"),
-        "payload_sha1_hex",
+        F.when(ref != "", ref).cast(back.schema["page_id"].dataType).alias("refers_to"),
+        F.upper(F.sha1("payload")).alias("payload_sha1_hex"),
     )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op6 over ``pages``: archive them, read the archive back, and report each record."""
-    path = f"{scratch_dir(spark)}/tidemark/warc-{uuid.uuid4().hex}"
+    """op6 over ``pages``: archive them, rebuild every record from the archive, and report each."""
+    path = f"{work_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     return index(spark, path)
 
