@@ -400,10 +400,69 @@ def test_html(spark):
     rows = [("u", PAGE), ("u", None), (None, ""), ("u", "<article><p>cut off <b>in the mid"), ("u", "<p"), ("u", PAGE)]
     got = [r["text"] for r in html_extraction.main_text(pages(spark, rows).transform(clash)).orderBy("page_id").collect()]
     assert got[0] == "Title é First bold text here next Second <p>" == got[5]
-    assert got[1] == got[2] == "" and got[3] == "cut off in the mid"
+    assert got[1] == got[2] == got[4] == "" and got[3] == "cut off in the mid"
     assert html_extraction.main_text(pages(spark, rows).limit(0)).count() == 0
 
 
+TAGS = {
+    "<p><a title=don't>linked</a>": "linked",
+    "<p>before<p cla": "before",
+    '<p>a<b class="x>b</b>': "a",
+    "<p>1 < 2 <b>and</b> 3 <4": "1 < 2 and 3 <4",
+    "<p>a<!-- > --><!doctype x>b<?php 1 > 2 ?>c": "ab 2 ?>c",
+    "<p>a</>b</ x>c</p/>d": "abcd",
+    "<p>a<br/>b<img alt='>' src=x/>c": "abc",
+    "<p>a<!-- never closed <b>x</b>": "a",
+    "<p title = 'x > y' =z>a</P >b": "ab",
+    "<script>var a='</scrip>' < 1</script x>a<style>b</styles></style>c": "ac",
+    "<b><i>a</b>b</i>c": "abc",
+    "<p>a\u00a0\u3000b&nbsp; &#x2003;c\x1cd": "a b c\x1cd",
+}
+
+
+def flat(n):
+    return "".join(x if isinstance(x, str) else "" if x.tag in html_extraction.RAW else flat(x) for x in n.items)
+
+
+def test_html_tags():
+    assert {t: html_extraction._WHITE.sub(" ", flat(html_extraction.parse(t))) for t in TAGS} == TAGS
+
+
+def test_html_list_items_and_cells_close_each_other():
+    root = html_extraction.parse("<table><tr><td>a<td><b>b<tr><td>c</table><ul><li>x<ul><li>y</ul><li>z</ul>")
+    shape = lambda n: [n.tag, *map(shape, n.kids)]
+    assert shape(root)[1:] == [["table", ["tr", ["td"], ["td", ["b"]]], ["tr", ["td"]]], ["ul", ["li", ["ul", ["li"]]], ["li"]]]
+
+
+@pytest.mark.parametrize("bit", ['<a href="x ', "<b>", "<div></span>", "<p><b><hr>", "<!", "</", "<", "<li><b>", "<p a=' "])
+def test_html_reading_is_linear(bit):
+    import time
+
+    def took(n):
+        best = 9.0
+        for _ in range(3):
+            start = time.process_time()
+            html_extraction.extract([bit * n], html_extraction.model())
+            best = min(best, time.process_time() - start)
+        return best
+
+    html_extraction.model()
+    assert took(16_000) < 0.2 + 8 * took(4_000)  # four times as long, not sixteen
+
+
+def test_html_main_text_of_other_layouts():
+    """Pages unlike those of training: other tags, names and order."""
+    story = ["The council met on Monday to discuss the new bridge over the river.", "Work is to begin in spring, and will take about two years to finish.", "Residents asked for a crossing that is safe for children on their way to school."]
+    body = "".join(f"<p>{x}</p>" for x in story)
+    pages = [
+        f"<body><div id=top><a href=/>Home</a> <a href=/n>News</a></div><div class='row'><div class='col entry-content'><h1>Bridge</h1>{body}</div><div class='col sidebar'><h3>Latest</h3><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></div></div><div id=footer>Imprint</div>",
+        f"<body><header><a href=/>Home</a></header><main><h1>Bridge</h1>{body}</main><section class=comments><h2>Comments</h2><p>Nice one, thank you all.</p></section><footer><p>All rights reserved</p></footer>",
+        f"<body><nav class=navbar><a href=/a>A</a><a href=/b>B</a></nav><section class=post><h1>Bridge</h1>{body}<div class='share social'><a href=#>Share</a></div></section><aside><p>Sponsored words</p></aside>",
+    ]
+    got = html_extraction.extract(pages, html_extraction.model())
+    assert got == ["Bridge " + " ".join(story)] * 3
+
+
 def test_html_model_on_held_out_pages():
     right = total = 0
     model = html_extraction.model()

@@ -10,10 +10,15 @@ order, is the result.
 The model is trained here, on pages that :func:`training_pages` makes from layouts
 with a known main text; their number bounds the sample.
 
-Defined results: a null or empty page, or one without text, gives an empty text.
-Unclosed, stray and truncated tags are tolerated as browsers do.  Rows are read
-one by one, repeated rows included.  Only ``page_id``, ``url`` and ``html`` are
-read by name.
+White space is what Unicode calls so (``WHITE``), non-breaking spaces included.
+
+Defined results: a null or empty page, or one without text, gives an empty text; an
+empty table gives no rows.  Unclosed and stray tags are tolerated as browsers do; a tag
+that is cut off by the end of the page, or by a quote that is never closed, ends the
+page and is no text.  Of a node's depth, what exceeds 20 counts as 20.  Rows are read
+one by one, null and repeated ids and repeated rows included; reading takes time in
+proportion to a page's length.  Only ``page_id``, ``url`` and ``html`` are read by name;
+other columns may have any.
 """
 
 from __future__ import annotations
@@ -30,7 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.batches import slices
+
 PAGES, SEED = 240, 11
+#: Bytes of pages that a worker reads at a time; their trees take many times that.
+SLICE_BYTES = 1 << 20
 TREES, DEPTH, RATE, CUTS = 40, 3, 0.3, 24
 
 #: Fixed values of HTML.
@@ -54,62 +63,112 @@ AGAINST = frozenset(
 )
 FOR = frozenset("article body content entry main post story text".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: What begins with "<" and is not text: a comment, a declaration, or the name of a tag.
+_OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+#: One attribute: its name, and its value with quotes or without.
+_ATTR = re.compile(r"[\s/]*(?:(>)|(=?[^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)(\"?)|'([^']*)('?)|([^\s>\"'][^\s>]*))?)?)")
+_NAMED = frozenset("class id role itemprop".split())
+#: White space, which is all that is turned into one space: that of HTML, and the spaces of other scripts.
+WHITE = "\t\n\f\r \x0b\x85\xa0                　"
+_WHITE = re.compile(f"[{WHITE}]+")
 _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("attrs", "depth", "items", "kids", "parent", "tag")
+    __slots__ = ("attrs", "depth", "floor", "items", "kids", "parent", "tag")
 
     def __init__(self, tag: str, attrs: frozenset, parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.depth = parent.depth + 1 if parent else 0
+        self.floor: Node = parent.floor if parent and tag in INLINE else self  # the nearest block, itself included
         self.kids: list[Node] = []
         self.items: list = []  # texts and kids, in order
 
 
+def _attributes(page: str, pos: int) -> tuple[int, frozenset, bool]:
+    """Where the tag whose name ends at ``pos`` ends (-1: never), the words of its naming attributes, and whether it closes itself."""
+    words: set[str] = set()
+    while True:
+        m = _ATTR.match(page, pos)
+        if m[1]:
+            return m.end(), frozenset(words), page[m.start() : m.end()].endswith("/>")
+        if m.end() == len(page) or (m[3] is not None and not m[4]) or (m[5] is not None and not m[6]):
+            return -1, frozenset(), False  # cut off within the tag, or a quote that is never closed
+        if m.end() == pos:  # a lone character that begins no attribute
+            pos += 1
+            continue
+        if m[2].lower() in _NAMED:
+            words.update(_WORD.findall((m[3] or m[5] or m[7] or "").lower()))
+        pos = m.end()
+
+
 def parse(page: str) -> Node:
-    """The element tree; raw elements such as scripts keep no text."""
+    """The element tree; raw elements such as scripts keep no text.
+
+    Every character is looked at a bounded number of times: what is open is counted by
+    tag, so that stray end tags cost nothing.
+    """
     root = at = Node("#page", frozenset(), None)
-    pos, end = 0, len(page)
+    opened: Counter = Counter()
+    pos, end, text = 0, len(page), 0  # text: where the text that is being read began
+
+    def close(n: Node) -> Node:
+        opened[n.tag] -= 1
+        return n.parent
+
     while pos < end:
-        m = _TOKEN.search(page, pos)
-        text = page[pos : m.start() if m else end]
-        if text:
-            at.items.append(entities.unescape(text))
-        if not m:
-            break
-        pos = m.end()
-        if not m[2]:
+        lt = page.find("<", pos)
+        m = _OPEN.match(page, lt) if lt >= 0 else None
+        if lt >= 0 and not m:
+            if lt == end - 1 or page[lt + 1] != "/":  # a lone "<" is text
+                pos = lt + 1
+                continue
+            stop = page.find(">", lt)  # "</" and no name: a comment, which ends at ">"
+            here = lt, end if stop < 0 else stop + 1
+        elif lt < 0:
+            here = end, end
+        elif m[1]:
+            stop = page.find("-->", max(m.end() - 2, lt + 4))
+            here = lt, end if stop < 0 else stop + 3
+        elif m[2]:
+            stop = page.find(">", lt)
+            here = lt, end if stop < 0 else stop + 1
+        else:
+            stop, names, shut = _attributes(page, m.end())
+            here = lt, end if stop < 0 else stop
+        if here[0] > text:
+            at.items.append(entities.unescape(page[text : here[0]]))
+        pos = text = here[1]
+        if not m or not m[4] or stop < 0:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            up = at
-            while up.parent and up.tag != tag:
-                up = up.parent
-            if up.parent:
-                at = up.parent
+        tag = m[4].lower()
+        if m[3]:
+            if opened[tag]:
+                while at.tag != tag:
+                    at = close(at)
+                at = close(at)
             continue
-        shut = CLOSES.get(tag) or ({"p"} if tag in CLOSES_P else ())
-        up = at
-        while shut and up.parent and (up.tag in INLINE or up.tag in shut):
-            if up.tag in shut:
-                at = up.parent
-                break
-            up = up.parent
-        found = frozenset(w for x in _ATTR.findall(m[3]) for w in _WORD.findall("".join(x).lower())) if m[3] else frozenset()
-        node = Node(tag, found, at)
+        ends = CLOSES.get(tag) or ({"p"} if tag in CLOSES_P else ())
+        while at.floor.tag in ends and at.floor.parent:
+            floor = at.floor
+            while at is not floor:
+                at = close(at)
+            at = close(at)
+        node = Node(tag, names, at)
         at.kids.append(node)
         at.items.append(node)
         if tag in RAW:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, pos)
-            pos = close.end() if close else end
-        elif tag not in VOID and not m[3].rstrip().endswith("/"):
+            found = _RAW_END[tag].search(page, pos)
+            pos = text = found.end() if found else end
+        elif tag not in VOID and not shut:
             at = node
+            opened[tag] += 1
     return root
 
 
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
+
+
 def blocks(root: Node) -> list[Node]:
     """The elements that are judged, parents first: all but inline and raw ones."""
     out, todo = [], [root]
@@ -222,7 +281,7 @@ def text_of(root: Node, kept: set[int]) -> str:
             out.append(" ")
             if id(x) in kept:
                 stack.append((x, iter(x.items)))
-    return " ".join("".join(out).split())
+    return _WHITE.sub(" ", "".join(out)).strip(" ")
 
 
 # Boosting
@@ -302,9 +361,13 @@ def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[str]:
     line = lambda a, b: " ".join(word() for _ in range(rng.randint(a, b)))
 
     def bad() -> str:
-        tag, name = rng.choice(_BAD[:-1])
-        kind = rng.randrange(5)
-        if kind == 0 or tag == "ul":
+        tag, name = rng.choice(_BAD)
+        kind = rng.randrange(6)
+        if name == "x1":  # a name that says nothing; only its links do
+            name, kind = word(), rng.choice((0, 5))
+        if kind == 5 and tag != "ul":
+            inner = " ".join(f"<a href='/{word()}'>{line(1, 3)}</a>" for _ in range(rng.randint(1, 6)))
+        elif kind == 0 or tag == "ul":
             inner = "".join(f"<li><a href='/{word()}'>{line(1, 3)}</a></li>" for _ in range(rng.randint(3, 9)))
             inner = inner if tag == "ul" else f"<ul>{inner}</ul>"
         elif kind == 1:
@@ -382,8 +445,7 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for a in range(0, b.num_rows, 200):
-                part = b.slice(a, 200)
+            for part in slices(b, 2, SLICE_BYTES):
                 text = extract(part.column(2).to_pylist(), trees)
                 n = pa.array(map(len, text), pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(text, pa.string()), n], names=schema.names)
