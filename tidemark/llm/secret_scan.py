@@ -1,7 +1,7 @@
 """Secret scanning with a random forest that removes false positives.
 
-Candidates are values of at least 4 characters after a speaking assignment, passwords
-in URLs, and all runs of at least 16 token characters, with digits or without.
+Candidates are private keys in PEM armour, web tokens of two or three parts, values of
+at least 4 characters after a speaking assignment, passwords in URLs, and all runs of at least 16 token characters, with digits or without.
 Features of a candidate and the text around it go through a random forest, which was
 trained on labelled findings with Spark ML and is then written out as one SQL
 expression, so a scan is a projection: no shuffle, no Python, and the forest is part
@@ -15,8 +15,10 @@ spaces is a candidate up to its first space only.
 The default labelled findings are made by Spark SQL from templates, ``PER_TEMPLATE``
 of each; that number bounds the training sample.
 
-Defined results: null and empty texts have no candidates.  Rows are scanned one
-by one; repeated rows and ids keep a result each.  Only ``doc_id`` and ``text``
+Defined results: null and empty texts have no candidates; an empty table gives no
+rows.  Rows are scanned one by one; null and repeated ids and repeated rows keep a
+result each.  A text of n candidates takes time in proportion to n log n, however
+long.  A probability of exactly ``CUT`` is no secret.  Only ``doc_id`` and ``text``
 (``n_chars`` too in :func:`redact`, if it is there) are read by name.
 """
 
@@ -37,12 +39,16 @@ _QUOTED = r"(?<=[\"'`])[^\s\"'`]{4,}+"
 _BARE = r"(?<![\"'`])(?:(?!&\w{1,32}=)[^\s\"'`<>,;]){3,}(?!&\w{1,32}=)[^\s\"'`<>,;.:?]"
 _IN_URL = r"(?<=:)(?<=://[^\s/:@]{0,64}:)[^\s/@]{4,}+(?=@)"
 _RUN = rf"(?<![{TOKEN}])(?=[+/_\-]*+[A-Za-z0-9])[{TOKEN}]{{16,}}+(?:={{1,2}}(?![{TOKEN}=\"'`]))?"
-CANDIDATE = rf"{_IN_URL}|{_ASSIGNED}(?:{_QUOTED}|{_BARE})|{_RUN}"
+_PEM = r"-----BEGIN (?:[A-Z0-9]{1,16} ){0,3}PRIVATE KEY-----[^\-]*+(?:-----END (?:[A-Z0-9]{1,16} ){0,3}PRIVATE KEY-----)?"
+_JWT = rf"(?<![{TOKEN}])eyJ[\w\-]{{8,}}+\.[\w\-]{{4,}}+(?:\.[\w\-]{{4,}}+)?"
+CANDIDATE = rf"{_PEM}|{_JWT}|{_IN_URL}|{_ASSIGNED}(?:{_QUOTED}|{_BARE})|{_RUN}"
 #: Characters of context; a candidate has ``LEAST`` characters, so ``BEFORE / LEAST`` of them reach over it.
 BEFORE, AFTER, LEAST = 48, 16, 4
 PER_TEMPLATE = 150
 TREES, DEPTH, SEED = 15, 5, 7
 CUT = 0.5
+#: A text has 2**31 characters at most and a candidate 4.
+LEVELS = 29
 MASK = "<secret>"
 
 #: Words that ordinary identifiers, paths and titles are made of.
@@ -52,8 +58,8 @@ DICTIONARY = (
     "content", "article", "chapter", "section", "figure", "table", "model", "build", "release", "server", "client", "path",
 )
 SPEAKS_FOR = r"(?i)(token|secret|passw|pwd|api|key|auth|bearer|credential|private|access)[^\n]{0,16}$"
-SPEAKS_AGAINST = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|etag|uuid|guid|isbn|doi|phone|card|iban|account|order|invoice|tracking|session)\W[^\n]{0,12}$"
-KNOWN = r"\A(?:A[KS]IA[A-Z2-7]{16}\z|gh[oprsu]_|github_pat_|glpat-|xox[abprs]-|sk[_-]|AIza|eyJ)"
+SPEAKS_AGAINST = r"(?i)(sha\d*|md5|commit|checksum|digest|hash|etag|uuid|guid|isbn|doi|phone|card|iban|account|order|invoice|tracking|session|integrity|base64|public key|fingerprint)\W\W{0,5}[^\n]{0,12}$"
+KNOWN = r"\A(?:A[KS]IA[A-Z2-7]{16}\z|gh[oprsu]_|github_pat_|glpat-|xox[abprs]-|[rs]k[_-]|AIza|eyJ|npm_|-----BEGIN)"
 
 FEATURES = (
     "length", "transitions", "digits", "distinct", "dictionary", "hex", "decimal", "path", "assigned", "quoted", "for", "against",
@@ -116,6 +122,14 @@ TEMPLATES = (
     (1, "concat(word, if(k % 2 = 0, ' use ', ' token: '))", "concat('ghp_', substring(translate(base64(unhex(sha2(seed, 256))), '+/0123456789', 'abQwErTzUiOp'), 1, 36))"),
     (1, "concat(word, if(k % 2 = 0, ' api_key: ', ' secret = \"'))", "substring(translate(base64(unhex(sha2(seed, 256))), '+/0123456789', 'abQwErTzUiOp'), 1, 16 + k % 24)"),
     (1, "concat(word, ' use ')", "substring(translate(base64(unhex(sha2(seed, 256))), '0123456789', 'QwErTzUiOp'), 1, 24 + k % 18)"),
+    (1, "concat(word, if(k % 2 = 0, ' password: ', ' PASSWORD='))", "concat(word, if(k % 3 = 0, k % 10, k % 100))"),
+    (1, "concat(word, if(k % 2 = 0, '\n', ' key:\n'))", "concat('-----BEGIN ', if(k % 3 = 0, 'RSA ', ''), 'PRIVATE KEY-----\n', base64(unhex(sha2(seed, 512))), '\n', base64(unhex(sha2(word, 512))), '\n-----END ', if(k % 3 = 0, 'RSA ', ''), 'PRIVATE KEY-----')"),
+    (1, "concat(word, if(k % 2 = 0, ' ', ' cookie: '))", "concat('eyJ', substring(translate(base64(unhex(sha2(seed, 256))), '+/=', 'ab'), 1, 20 + k % 15), '.eyJ', substring(translate(base64(unhex(sha2(seed, 512))), '+/=', '_-'), 1, 30 + k % 40), '.', substring(translate(base64(unhex(sha2(word, 512))), '+/=', '_-'), 1, 43))"),
+    (1, "concat(word, if(k % 2 = 0, ' ', '='))", "concat_ws('-', if(k % 3 = 0, 'xoxb', 'xoxp'), lpad(k * 7919 % 1000000, 12, '3'), lpad(k * 104729 % 1000000, 12, '7'), substring(translate(base64(unhex(sha2(seed, 256))), '+/=', 'ab'), 1, 24))"),
+    (1, "concat(word, if(k % 2 = 0, ' ', ' KEY='))", "concat(if(k % 3 = 0, 'sk_live_', if(k % 3 = 1, 'glpat-', 'npm_')), substring(translate(base64(unhex(sha2(seed, 256))), '+/=', 'ab'), 1, 20 + k % 16))"),
+    (0, "concat(if(k % 2 = 0, 'integrity=\"', 'integrity: '), '')", "concat(if(k % 3 = 0, 'sha512-', 'sha384-'), base64(unhex(sha2(seed, 512))))"),
+    (0, "concat('data:image/', word, ';base64,')", "substring(concat(base64(unhex(sha2(seed, 512))), base64(unhex(sha2(word, 512)))), 1, 40 + k % 100)"),
+    (0, "concat('-----BEGIN ', if(k % 2 = 0, '', 'RSA '), 'PUBLIC KEY-----\n')", "substring(base64(unhex(sha2(seed, 512))), 1, 64)"),
     (0, "concat(word, if(k % 2 = 0, ' password: ', ' key = '))", "if(k % 3 = 0, word, concat(word, substring('sedlying', 1, k % 9)))"),
     (0, "if(k % 2 = 0, 'Authorization: ', 'the key: ')", "if(k % 4 = 0, 'Bearer', initcap(word))"),
     (0, "concat(word, if(k % 2 = 0, ' password = \"', ' token: '))", "concat(if(k % 3 = 0, '${', '$('), upper(word), if(k % 5 = 0, '_PASSWORD', '_TOKEN'), '}')"),
@@ -216,17 +230,33 @@ def _scan(text: Column, forest: list) -> Column:
     return let(gaps, lambda g: let(found, lambda f: both(g, f)))
 
 
+def _doubled(k: int):
+    def step(v: Column) -> Column:
+        return F.when(F.size(v) > k, F.transform(v, lambda x, i: x + F.when(i >= k, F.get(v, i - k)).otherwise(F.lit(0)))).otherwise(v)
+
+    return step
+
+
+def _sums(values: Column) -> Column:
+    """Running sums of an array of up to 2**LEVELS numbers, by doubling: n log n steps."""
+    for level in range(LEVELS):
+        values = let(values, _doubled(1 << level))
+    return values
+
+
 def findings(docs: DataFrame, forest: list | None = None, cut: float = CUT) -> DataFrame:
     """Every candidate: ``doc_id, ordinal, start`` and ``length`` in characters, ``fingerprint, probability, is_secret``."""
     forest = forest or _default_forest()
-    one = docs.select("doc_id", _scan(F.col("text"), forest).alias("s")).select("doc_id", "s.gaps", "s.items")
-    steps = F.zip_with("gaps", "items", lambda g, x: F.length(g) + F.coalesce(F.length(x["c"]), F.lit(0)))
-    one = one.select("doc_id", "gaps", steps.alias("steps"), F.posexplode_outer("items").alias("i", "x")).where("i IS NOT NULL")
-    start = F.aggregate(F.slice("steps", F.lit(1), F.col("i")), F.lit(0), lambda a, x: a + x) + F.length(F.get("gaps", F.col("i")))
+
+    def placed(s: Column) -> Column:
+        steps = F.transform(s["items"], lambda x, i: F.length(F.get(s["gaps"], i)) + F.length(x["c"]))
+        return F.zip_with(s["items"], _sums(steps), lambda x, z: F.struct(x["c"].alias("c"), x["p"].alias("p"), (z - F.length(x["c"])).alias("start")))
+
+    one = docs.select("doc_id", F.posexplode_outer(let(_scan(F.col("text"), forest), placed)).alias("i", "x")).where("i IS NOT NULL")
     return one.select(
         "doc_id",
         F.col("i").alias("ordinal"),
-        start.cast("long").alias("start"),
+        F.col("x.start").cast("long").alias("start"),
         F.length("x.c").cast("long").alias("length"),
         F.sha2("x.c", 256).alias("fingerprint"),
         F.round("x.p", 6).alias("probability"),
