@@ -8,8 +8,10 @@ Words are runs of characters other than the six ASCII white-space characters
 (space, tab, line feed, vertical tab, form feed, carriage return).
 
 Defined results: a null or empty text has no words, all counts are 0 and it
-fails ``few_words``.  Rows are judged one by one, so repeated or null ids keep a
-row each.  An empty table gives an empty ledger.  The ledger has its own columns
+fails ``few_words``.  A measure equal to a threshold passes.  Rows are judged one by
+one, so repeated or null ids and repeated rows keep a row each.  An empty table gives an
+empty ledger.  Time and memory grow with a text's length and no text is too long to
+judge, but for what a row can hold.  The ledger has its own columns
 only: further columns of the input, whatever their names, are not carried.
 """
 
@@ -205,9 +207,15 @@ def query(spark, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"),
         (~failed & passes(DEFAULT)).alias("kept"),
         "fail_bits",
+        F.lit(DEFAULT.version).alias("policy"),
     )
 
 
+def ablation_query(spark, sf_dir: str) -> DataFrame:
+    """What each rule of each policy costs, over ``documents``."""
+    return ablation(ledger(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
 LEDGER_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
@@ -243,8 +251,19 @@ WITH d AS (
 
 SQL = (
     LEDGER_SQL
-    + """
+    + f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed,
-  fail_bits = 0 AS kept, fail_bits FROM led
+  fail_bits = 0 AS kept, fail_bits, '{DEFAULT.version}' AS policy FROM led
+"""
+)
+_TABLE = ", ".join(f"('{p.version}', '{r}', {p.mask}, {1 << RULES[r]})" for p in (BASE, DEFAULT) for r in p.rules)
+ABLATION_SQL = (
+    LEDGER_SQL
+    + f""", t(policy, rule, mask, bit) AS (VALUES {_TABLE})
+SELECT policy, rule, CAST(count(*) FILTER (WHERE fail_bits & bit <> 0) AS BIGINT) AS n_failed,
+  CAST(count(*) FILTER (WHERE fail_bits & mask = bit) AS BIGINT) AS n_failed_only,
+  CAST(count(*) FILTER (WHERE fail_bits & mask = 0) AS BIGINT) AS n_kept,
+  CAST(count(*) FILTER (WHERE fail_bits & mask & ~bit = 0) AS BIGINT) AS n_kept_without
+FROM led, t GROUP BY policy, rule
 """
 )

@@ -19,10 +19,21 @@ MODULES = {
 }
 
 
+#: More of what these operators do: query name to module, function and name of its SQL.
+MORE = {
+    "quality_ablation": ("quality_rules", "ablation_query", "ABLATION_SQL"),
+    "small_shards": ("sharding", "small_shards", "SMALL_SQL"),
+}
+
+
+def _module(name: str):
+    return importlib.import_module(f"tidemark.llm.{name}")
+
+
 def queries() -> dict:
-    return {name: importlib.import_module(f"tidemark.llm.{m}").query for name, m in MODULES.items()}
+    return {name: _module(m).query for name, m in MODULES.items()} | {name: getattr(_module(m), f) for name, (m, f, _) in MORE.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {name: getattr(importlib.import_module(f"tidemark.llm.{m}"), "SQL", None) for name, m in MODULES.items()}
+    found = {name: getattr(_module(m), "SQL", None) for name, m in MODULES.items()} | {name: getattr(_module(m), q) for name, (m, _, q) in MORE.items()}
     return {k: v for k, v in found.items() if v}
