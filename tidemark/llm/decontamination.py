@@ -9,14 +9,15 @@ Words: A-Z lower-cased, then runs of ASCII letters, digits and any character
 above U+007F.  A window is 13 consecutive item words; an item with fewer, but
 some, is one window.
 
-The table is broadcast up to ``MAX_WINDOWS`` windows.  A larger benchmark is cut
-into blocks of that size by hash, and the documents are scanned once a block, so
-the broadcast stays bounded whatever the benchmark's size.
+The table is broadcast up to ``BROADCAST_BYTES``, as measured.  A larger benchmark is
+cut into blocks of that size by hash, and the documents are scanned once a block, so
+the broadcast stays bounded whatever the benchmark's size or the length of its words.
 
 Defined results: null or empty texts have no words and are clean.  Null or
 wordless items have no windows; a null item id counts as the empty string.
 Repeated rows of ``documents`` are judged each; repeated items add nothing.
-Empty tables on either side give clean documents or no rows.  Only ``doc_id`` and
+Empty tables on either side give clean documents or no rows.  A text's words and
+their hashes have to fit in a row's memory; no text is cut.  Only ``doc_id`` and
 ``text`` (``item_id`` and ``text``) are read by name, so other columns of either
 table can have any name.
 """
@@ -30,15 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.columns import let
-from tidemark.session import materialise
+from tidemark.session import BROADCAST_BYTES, ROW_BYTES, broadcast_within, materialise
 
 N = 13
 #: Windows are looked up by the hash of their first words, then compared whole.
 ANCHOR = 4
-#: Most windows in one broadcast: about 150 bytes each, so 75 MB.
-MAX_WINDOWS = 500_000
-#: Most documents to remove in a broadcast (about 50 bytes each); beyond it the texts shuffle.
-MAX_BROADCAST_KEYS = 1_000_000
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -87,7 +84,7 @@ def _probe(docs: DataFrame, table: DataFrame, anchor: int, mark: bool) -> DataFr
     return rows.join(F.broadcast(t), same).select("k_id", "k_hash", "p", "n", "win")
 
 
-def hits(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_WINDOWS) -> tuple[DataFrame, DataFrame]:
+def hits(docs: DataFrame, bench: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
     """Confirmed occurrences ``(k_id, k_hash, p, n, win)``, and the benchmark's windows.
 
     ``(k_id, k_hash)`` stands for a document: its id and its text's hash.  A row
@@ -95,11 +92,13 @@ def hits(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_WINDOWS) -> t
     written once, since spans, items and documents are all read from it.
     """
     wins = windows(bench)
-    size = {r["n"]: r["c"] for r in wins.groupBy("n").agg(F.count_distinct("win").alias("c")).collect()}  # 13 rows at most
+    wins = materialise(wins, "windows")
     table, parts = wins.select("n", "win").distinct(), []
+    taken = F.sum(F.octet_length("win") + F.lit(ROW_BYTES))
+    size = {r["n"]: r["b"] for r in table.groupBy("n").agg(taken.alias("b")).collect()}  # 13 rows at most
     for anchor in sorted({min(n, ANCHOR) for n in size} or {ANCHOR}, reverse=True):
         own = table.where(F.least("n", F.lit(ANCHOR)) == anchor)
-        blocks = max(1, -(-sum(c for n, c in size.items() if min(n, ANCHOR) == anchor) // max_windows))
+        blocks = max(1, -(-sum(b for n, b in size.items() if min(n, ANCHOR) == anchor) // max_broadcast))
         for b in range(blocks):
             part = own.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == b) if blocks > 1 else own
             parts.append(_probe(docs, part, anchor, mark=not parts))
@@ -112,9 +111,9 @@ def _same(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
     return a.join(b, a["k_id"].eqNullSafe(b["j_id"]) & (a["k_hash"] == b["j_hash"]), how).drop("j_id", "j_hash")
 
 
-def judged(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def judged(docs: DataFrame, bench: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
     """Per row of ``docs``: its key, counts, items, hit spans ``[a, z)`` in words, and the verdict."""
-    found, wins = hits(docs.select("doc_id", "text"), bench, max_windows)
+    found, wins = hits(docs.select("doc_id", "text"), bench, max_broadcast)
     base = found.where("n = 0").select("k_id", "k_hash", F.col("p").cast("long").alias("n_words"))
     # A repeated row repeats its document's hits; one of each is enough.
     found = found.where("n > 0").distinct()
@@ -142,22 +141,19 @@ def _keyed(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return docs.join(found, on, how)
 
 
-def remove_documents(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def remove_documents(docs: DataFrame, bench: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` without the contaminated ones, with the same columns.
 
     Documents are matched by id and text, so a repeated id is judged text by text.
     Few keys are broadcast, so that the texts stay where they are.
     """
-    gone = judged(docs, bench, max_windows).where("contaminated").select("k_id", "k_hash").distinct()
-    gone = materialise(gone, "contaminated")
-    if gone.count() <= MAX_BROADCAST_KEYS:
-        gone = F.broadcast(gone)
-    return _keyed(docs, gone, "left_anti")
+    gone = judged(docs, bench, max_broadcast).where("contaminated").select("k_id", "k_hash").distinct()
+    return _keyed(docs, broadcast_within(materialise(gone, "contaminated"), max_broadcast), "left_anti")
 
 
-def remove_spans(docs: DataFrame, bench: DataFrame, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def remove_spans(docs: DataFrame, bench: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
     """``docs`` with every hit word, and what separates it from the next, cut from the text."""
-    found = judged(docs, bench, max_windows).where("n_hit > 0").select("k_id", "k_hash", F.col("spans").alias("_tm_spans"))
+    found = judged(docs, bench, max_broadcast).where("n_hit > 0").select("k_id", "k_hash", F.col("spans").alias("_tm_spans"))
     out = _keyed(docs, found.dropDuplicates(["k_id", "k_hash"]), "left")
     text = F.coalesce(docs["text"], F.lit(""))
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"

@@ -13,8 +13,11 @@ Sections are the lines of the text, each with its line feed, unless ``spans``
 names a column ``array<struct<start int, end int>>`` of character spans, in order
 and not overlapping.  Tokens outside all spans are counted nowhere.
 
-Defined results: null and empty texts have no sections.  Rows are counted one by
-one.  Only ``doc_id``, ``text`` and the span column are read by name.
+Defined results: null and empty texts have no sections; an empty table gives no rows.
+Rows are counted one by one, null and repeated ids and repeated rows included.  Batches
+are cut by bytes; a very long text is encoded whole, alone in its batch, and needs some
+50 bytes a token.  Only ``doc_id``, ``text`` and the span column are read by name;
+other columns may have any.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.batches import slices
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RULES = ("first", "last", "most")
@@ -102,7 +107,7 @@ def section_counts(docs: DataFrame, spans: str | None = None, rule: str = "first
         return pa.RecordBatch.from_arrays([source.take(pa.array(rows, pa.int64())), *columns], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             given = batch.column(2).to_pylist() if spans else None
             rows, parts = [], [[] for _ in names]
             for i, value in enumerate(batch.column(1)):
