@@ -283,7 +283,7 @@ def bench_and_docs(spark):
     return bench, texts, b, docs(spark, texts)
 
 
-@pytest.mark.parametrize("most", [1_000_000, 7])
+@pytest.mark.parametrize("most", [1_000_000, 700])
 def test_decontamination_against_brute_force(spark, most):
     bench, texts, b, d = bench_and_docs(spark)
     got = {r["k_id"]: r for r in decontamination.judged(d, b, most).collect()}
@@ -667,11 +667,39 @@ def test_sharding(spark):
         assert not any(s != shard and s.startswith(shard) for s in by)
 
 
-def test_sharding_of_one_hot_id(spark):
-    d = docs(spark, ["z" * 50] * 20).withColumn("doc_id", F.lit(7).cast("long")).unionByName(docs(spark, ["q" * 50] * 10, 100))
-    rows = sharding.assign(d, 200).collect()
-    hot = [r for r in rows if r["doc_id"] == 7]
-    assert len(rows) == 30 and len({r["shard"] for r in hot}) == 1 and all(r["oversized"] for r in hot)
+def hot_rows():
+    """One id with many texts, null ids, one row many times, and a row beyond the limit."""
+    rows = [(7, f"{i:03d}" * 17) for i in range(20)] + [(None, f"n{i}" * 30) for i in range(20)] + [(5, "z" * 50)] * 23 + [(6, "w" * 300)] * 3 + [(8, "")] * 40
+    return rows + [(100 + i, "q" * 50) for i in range(10)] + [(9, None)]
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_sharding_of_hot_rows(spark, most):
+    import duckdb
+
+    data = hot_rows()
+    d = spark.createDataFrame(data, "doc_id long, text string").repartition(5).transform(clash)
+    rows = sharding.assign(d, 200, most).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r["shard"], []).append(r)
+    assert len(rows) == len(data)
+    for own in by.values():
+        total = sum(r["n_bytes"] for r in own)
+        assert all(r["shard_bytes"] == total and r["oversized"] == (total > 200) for r in own) and (total <= 200 or len(own) == 1)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", data)
+    assert sorted(map(str, con.execute(sharding.sql(200)).fetchall())) == sorted(str(tuple(r)) for r in rows)
+
+
+def test_hot_rows_are_written_whole(spark, tmp_path):
+    d = spark.createDataFrame(hot_rows(), "doc_id long, text string").repartition(4)
+    sharding.write_shards(d, str(tmp_path / "s"), 200)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == d.count() and back.drop("_tm_shard").exceptAll(d).count() == 0
+    sizes = back.groupBy("_tm_shard").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()
+    assert all((r["b"] or 0) <= 200 or r["n"] == 1 for r in sizes)
 
 
 def test_shards_are_written_whole(spark, tmp_path):
