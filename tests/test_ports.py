@@ -141,6 +141,45 @@ def test_nearest_city_and_country(spark):
     assert enrich.nearest_city(places, gaz.limit(0), "key", "lat", "lon").collect() == []
 
 
+@pytest.mark.parametrize("n", [3, 60])
+def test_nearest_city_over_the_whole_globe(spark, n):
+    """Few cities far from most places, against all distances."""
+    import random
+
+    rng = random.Random(n)
+    cities = [(f"c{i}", "a", "XX", round(rng.uniform(-90, 90), 3) if n > 3 else 50.0 + i, round(rng.uniform(-180, 180), 3) if n > 3 else 10.0 + i) for i in range(n)]
+    cities += [("same", "a", "XX", *cities[0][3:]), ("b", "a", "XX", *cities[0][3:])]  # ties
+    places = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(150)] + [(200, 90.0, 180.0), (201, -90.0, -180.0), (202, None, 3.0)]
+    got = enrich.nearest_city(spark.createDataFrame(places, "k int, la double, lo double"), spark.createDataFrame(cities, "name string, admin1 string, cc string, lat double, lon double"), "k", "la", "lo")
+
+    def far(p, c):
+        a, b = (math.radians(x) for x in (p[1], c[3]))
+        h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(c[4] - p[2]) / 2) ** 2
+        return 12742.0 * math.asin(min(1.0, math.sqrt(h)))
+
+    want = {p[0]: min((round(far(p, c), 6), c[0]) for c in cities) for p in places if p[1] is not None}
+    assert {r["k"]: (round(r["nearest_city_dist_km"], 6), r["nearest_city"]) for r in got.collect()} == want
+
+
+def test_centroids_are_of_whole_geometries_and_per_feature(spark):
+    box = lambda x, y, s: [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
+    shapes = [
+        ({"type": "Polygon", "coordinates": [box(0, 0, 4), box(1, 1, 1)]}, {}),
+        ({"type": "MultiPolygon", "coordinates": [[box(0, 0, 1)], [box(10, 0, 3)]]}, {}),
+        ({"type": "Point", "coordinates": [7.0, 8.0]}, {}),
+        ({"type": "Point", "coordinates": [7.0, 8.0]}, {"centroid_lat": 1.0, "centroid_lon": 2.0}),
+        (None, {}),
+        ({"type": "Polygon", "coordinates": []}, {}),
+    ]
+    rows = [(i, json.dumps({"harbour_id": f"h{i}"} | p), json.dumps(g) if g else None) for i, (g, p) in enumerate(shapes)]
+    df = spark.createDataFrame(rows, "ordinal int, p string, g string")
+    kinds = "harbour_id string, centroid_lat double, centroid_lon double"
+    df = df.select("ordinal", F.from_json("p", kinds).alias("properties"), F.from_json("g", "type string, coordinates string").alias("geometry"))
+    got = {r["ordinal"]: (r["centroid_lon"], r["centroid_lat"]) for r in portdb.from_features(df).collect()}
+    assert got[0] == pytest.approx(((4**3 / 2 - 1.5) / 15,) * 2) and got[1] == pytest.approx(((0.5 + 9 * 11.5) / 10, (0.5 + 9 * 1.5) / 10))
+    assert got[2] == (7.0, 8.0) and got[3] == (2.0, 1.0) and got[4] == got[5] == (None, None)
+
+
 def test_port_ids(spark):
     space = uuid.UUID(vessels.NAMESPACE)
     df = spark.createDataFrame([("cell", "DE"), ("cell", None), ("other", " nl ")], "c string, cc string")

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.config import StopConfig
 from tidemark.functions import vessels
 from tidemark.operators import stops
@@ -122,3 +123,23 @@ def test_ship_classes(spark):
     cases = [("70", "cargo"), ("85", "tanker"), ("60", "passenger"), ("30", "fishing"), ("36", "recreational"), ("52", "tug_pilot"), ("0", "other"), (None, "unknown"), ("x", "unknown")]
     df = spark.createDataFrame(cases, "a string, b string")
     assert df.where(vessels.ship_class(F.col("a")) != F.col("b")).collect() == []
+
+
+def test_one_pass_equals_its_parts(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = []
+    for v in range(12):
+        for _ in range(80):
+            minute = rng.randint(0, 900)  # times tie
+            kind = rng.choice([1, 1, 1, 5])
+            rows.append((100000000 + v, T0 + timedelta(minutes=minute), 53.5 + rng.random() / 1000, 9.9, rng.choice([0.1, 0.2, 3.0, None]), rng.choice([0, 1, 5, None]), kind, rng.choice([None, -1.0, 0.0, 4.5, 6.0]), rng.choice([None, "DEHAM", "NLRTM"]), rng.choice([None, 0, 70, 80])))
+    m = spark.createDataFrame(rows, SCHEMA)
+    cfg = StopConfig(draught_lookup_hours=1.0)
+    parts = stops.with_voyages(stops.label(stops.segments(stops.candidates(m, cfg), cfg), cfg), stops.voyages(m, cfg), cfg)
+    short = lambda df: sorted(str([round(x, 6) if isinstance(x, float) else x for x in r]) for r in df.collect())
+    one = stops.extract_stops(m, cfg)
+    assert short(one) == short(schemas.conform(parts, schemas.STOPS)) and one.count() > 10
+    plan = stops.extract_stops(m, cfg)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

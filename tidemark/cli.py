@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         if name in ("phase1", "all"):
             s.add_argument("--raw-glob")
+            s.add_argument("--raw-schema", help="columns and types of the messages, as in SQL; without, the files' schemas are merged")
         if name in ("phase4", "all"):
             s.add_argument("--cities", required=True, help="Parquet: name, admin1, cc, lat, lon[, population]")
             s.add_argument("--countries", required=True, help="Parquet: iso2, name")
@@ -34,6 +35,8 @@ def main(argv: list[str] | None = None):
     cfg = load_config(args.config)
     if getattr(args, "raw_glob", None):
         cfg = dataclasses.replace(cfg, data=cfg.data | {"raw_glob": args.raw_glob})
+    if getattr(args, "raw_schema", None):
+        cfg = dataclasses.replace(cfg, data=cfg.data | {"raw_schema": args.raw_schema})
     if getattr(args, "existing_db", None):
         cfg = dataclasses.replace(cfg, match=dataclasses.replace(cfg.match, existing_db_path=args.existing_db))
     shared = {"spark.checkpoint.dir": cfg.spark["checkpoint_dir"]} if cfg.spark.get("checkpoint_dir") else {}

@@ -44,6 +44,24 @@ def ring_centroid(ring: Column) -> Column:
     return F.when(n > 0, F.aggregate(pair, zero, step, done))
 
 
+def ring_area(ring: Column) -> Column:
+    """Planar area of a closed ring, whichever way it runs."""
+    at = lambda i, k: F.get(F.get(ring, i), F.lit(k))
+    steps = F.sequence(F.lit(0), F.greatest(F.size(ring) - 2, F.lit(0)))
+    step = lambda s, i: s + F.coalesce(at(i, 0) * at(i + 1, 1) - at(i + 1, 0) * at(i, 1), F.lit(0.0))
+    return F.abs(F.aggregate(steps, F.lit(0.0), step)) / 2
+
+
+def polygons_centroid(polygons: Column) -> Column:
+    """Planar centroid ``struct<lon, lat>`` of ``array<polygon>``, each an outer ring and its holes; without area, the first ring's."""
+    one = lambda ring, i: F.struct((ring_area(ring) * F.when(i == 0, 1.0).otherwise(-1.0)).alias("w"), ring_centroid(ring).alias("c"))
+    parts = F.flatten(F.transform(polygons, lambda rings: F.transform(rings, one)))
+    total = lambda f: F.aggregate(parts, F.lit(0.0), lambda s, x: s + f(x))
+    w = total(lambda x: x["w"])
+    mean = lambda k: total(lambda x: x["w"] * x["c"][k]) / w
+    return F.when(F.size(polygons) > 0, F.when(w > 0, F.struct(mean("lon").alias("lon"), mean("lat").alias("lat"))).otherwise(F.get(parts, F.lit(0))["c"]))
+
+
 def bounds(points: Column) -> Column:
     """``struct<min_lon, min_lat, max_lon, max_lat>`` of ``array<array<double>>``."""
     axis = lambda k: F.transform(points, lambda p: F.get(p, F.lit(k)))

@@ -13,8 +13,43 @@ from tidemark.functions.geo import haversine_meters
 from tidemark.operators.polygons import add_polygons
 from tidemark.session import materialise
 
-#: Bucket sizes in degrees, tried in turn; the last holds the whole globe.
-LEVELS = (1.0, 6.0, 30.0, 360.0)
+#: Bucket sizes in degrees, tried in turn.  Places that no find is sure for are left to ``_far``, in buckets of the last size.
+LEVELS = (1.0, 6.0)
+METERS_PER_DEGREE = 111_200.0
+
+
+def _bucketed(df: DataFrame, lat: str, lon: str, size: float, y: str, x: str) -> DataFrame:
+    n = max(1, int(360 // size))
+    at = lambda c, low: F.floor((F.col(c) + low) / size).cast("int")
+    return df.withColumns({y: at(lat, 90.0), x: F.pmod(at(lon, 180.0), F.lit(n))})
+
+
+def _best(both: DataFrame) -> DataFrame:
+    dist = haversine_meters(F.col("_lat"), F.col("_lon"), F.col("_c_lat"), F.col("_c_lon"))
+    pick = F.min(F.struct(dist.alias("m"), "_c_name", "_c_admin1", "_c_cc", "_c_lat", "_c_lon")).alias("x")
+    return both.groupBy("_key", "_lat").agg(pick)
+
+
+def _far(todo: DataFrame, gaz: DataFrame, size: float) -> DataFrame:
+    """The nearest city of places whose neighbouring buckets hold none for sure.
+
+    Which buckets can hold it is found for whole buckets first, of which the globe has
+    ``180 / size * 360 / size``, whatever the tables' size: no point of a bucket is
+    farther than 3/4 ``size`` from its centre, so buckets beyond the closest one's
+    distance and four times that are out.  Places then meet the cities of few buckets.
+    """
+    todo, gaz = _bucketed(todo, "_lat", "_lon", size, "_py", "_px"), _bucketed(gaz, "_c_lat", "_c_lon", size, "_by", "_bx")
+    rows, columns = int(180 // size), int(360 // size)
+    grid = todo.select("_py", "_px").distinct().withColumn("_y", F.explode(F.sequence(F.lit(0), F.lit(rows)))).withColumn("_x", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+    used = gaz.select(F.col("_by").alias("_y"), F.col("_bx").alias("_x")).distinct()
+    mid = lambda c, low: F.least(F.col(c) * size + size / 2 - low, F.lit(low))
+    apart = haversine_meters(mid("_py", 90.0), mid("_px", 180.0), mid("_y", 90.0), mid("_x", 180.0))
+    reach = grid.join(used, ["_y", "_x"]).withColumn("_d", apart)
+    least = reach.groupBy(F.col("_py").alias("_ly"), F.col("_px").alias("_lx")).agg(F.min("_d").alias("_least"))
+    reach = reach.join(least, (F.col("_py") == F.col("_ly")) & (F.col("_px") == F.col("_lx")))
+    reach = reach.where(F.col("_d") <= F.col("_least") + 3 * size * METERS_PER_DEGREE).select("_py", "_px", "_y", "_x")
+    both = todo.join(reach, ["_py", "_px"]).join(gaz, (F.col("_y") == F.col("_by")) & (F.col("_x") == F.col("_bx")))
+    return _best(both)
 
 
 def nearest_city(places: DataFrame, cities: DataFrame, key: str, lat: str, lon: str, levels=LEVELS) -> DataFrame:
@@ -22,36 +57,26 @@ def nearest_city(places: DataFrame, cities: DataFrame, key: str, lat: str, lon:
 
     An equi join on buckets, 3 by 3 around a place.  A find is final if it is no
     farther than the buckets surely reach; other places go on to larger buckets,
-    and only few are left for the one that holds everything.  With an empty
-    gazetteer, all city columns are null.
+    and what is left then is compared with the cities of the buckets that can hold
+    its nearest.  With an empty gazetteer, all city columns are null.
     """
     want = places.select(F.col(key).alias("_key"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
     todo, done = want.where("_lat IS NOT NULL AND _lon IS NOT NULL"), []
+    plain = cities.select(*[F.col(c).alias(f"_c_{c}") for c in ("name", "admin1", "cc", "lat", "lon")])
     for size in levels:
-        last = size >= 360
         n = max(1, int(360 // size))
-        bucket = lambda c, low, size=size: F.floor((F.col(c) + low) / size).cast("int")
-        gaz = cities.select(*[F.col(c).alias(f"_c_{c}") for c in ("name", "admin1", "cc", "lat", "lon")])
-        gaz = gaz.withColumns({"_by": bucket("_c_lat", 90.0), "_bx": F.pmod(bucket("_c_lon", 180.0), F.lit(n))})
-        around = [(0, 0)] if last else [(y, x) for y in (-1, 0, 1) for x in (-1, 0, 1)]
+        gaz = _bucketed(plain, "_c_lat", "_c_lon", size, "_by", "_bx")
+        around = [(y, x) for y in (-1, 0, 1) for x in (-1, 0, 1)]
         step = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in around]))
-        near = todo.withColumn("_s", step).withColumns(
-            {"_py": bucket("_lat", 90.0) + F.col("_s.y"), "_px": F.pmod(bucket("_lon", 180.0) + F.col("_s.x"), F.lit(n))}
-        )
-        if n > 1 and n < 3:
-            near = near.dropDuplicates(["_key", "_py", "_px"])
-        both = near.join(gaz, (F.col("_py") == F.col("_by")) & (F.col("_px") == F.col("_bx")))
-        dist = haversine_meters(F.col("_lat"), F.col("_lon"), F.col("_c_lat"), F.col("_c_lon"))
-        pick = F.min(F.struct(dist.alias("m"), "_c_name", "_c_admin1", "_c_cc", "_c_lat", "_c_lon")).alias("x")
-        best = both.groupBy("_key", "_lat").agg(pick)
+        near = _bucketed(todo, "_lat", "_lon", size, "_py", "_px").withColumn("_s", step)
+        near = near.withColumns({"_py": F.col("_py") + F.col("_s.y"), "_px": F.pmod(F.col("_px") + F.col("_s.x"), F.lit(n))})
+        best = _best(near.join(gaz, (F.col("_py") == F.col("_by")) & (F.col("_px") == F.col("_bx"))))
         # The shorter way out of the buckets: north and south, or east and west at the higher latitude of the two.
         reach = F.cos(F.radians(F.least(F.abs("_lat") + size, F.lit(90.0)))) * size * 111_000.0
-        sure = best if last else best.where(F.col("x.m") <= reach)
-        sure = materialise(sure.select("_key", "x.*"), "nearest")
+        sure = materialise(best.where(F.col("x.m") <= reach).select("_key", "x.*"), "nearest")
         done.append(sure)
-        if last:
-            break
         todo = todo.join(sure.select("_key"), "_key", "left_anti")
+    done.append(_far(todo, plain, levels[-1]).select("_key", "x.*"))
     return reduce(DataFrame.unionByName, done).select(
         F.col("_key").alias(key),
         F.col("_c_cc").alias("country_iso2"),

@@ -1,8 +1,9 @@
 """Phase 1: stop events from raw messages.
 
-Position rows and voyage (type 5) rows come from one scan.  One exchange on the
-vessel serves everything: sessions, their aggregates, the two as-of lookups and
-the vessel's ship type are all keyed by it.
+:func:`extract_stops` reads the messages once and shuffles them once, by vessel: position
+and voyage (type 5) rows keep their roles as columns, and sessions, the two as-of lookups,
+the vessel's ship type and the segments' aggregates all follow on that exchange.  The
+other functions are its parts as operators of their own.
 """
 
 from __future__ import annotations
@@ -137,9 +138,47 @@ def with_voyages(stops: DataFrame, type5: DataFrame, cfg: StopConfig) -> DataFra
 
 
 def extract_stops(messages: DataFrame, cfg: StopConfig | None = None) -> DataFrame:
-    """Stop events in the 16 columns of the contract."""
+    """Stop events in the 16 columns of the contract.
+
+    The last voyage at or before a row is a running maximum, the first at or after it a
+    running minimum in the other direction, so each costs one sort and no frame is read
+    twice.  A segment takes the first row's and the last row's.
+    """
     cfg = cfg or StopConfig()
-    wanted = F.col("mmsi").between(cfg.mmsi_min, cfg.mmsi_max) & (is_candidate(cfg) | (F.col("msg_type") == 5))
-    messages = messages.where(wanted)
-    stops = label(segments(candidates(messages, cfg), cfg), cfg)
-    return schemas.conform(with_voyages(stops, voyages(messages, cfg), cfg), schemas.STOPS)
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    type5, slow = yes(F.col("msg_type") == 5), yes(is_candidate(cfg) & in_range(cfg))
+    at = F.unix_micros("timestamp")
+    rows = messages.where(F.col("mmsi").between(cfg.mmsi_min, cfg.mmsi_max)).select(
+        "mmsi", "timestamp", "lat", "lon", "nav_status", at.alias("_at"), slow.alias("_slow"),
+        F.when(type5, F.struct(at.alias("at"), "draught", "destination")).alias("_v"), F.when(type5, positive(F.col("ship_type"))).alias("_type"),
+    ).where(F.col("_slow") | F.col("_v").isNotNull())
+    vessel, start = Window.partitionBy("mmsi"), Window.unboundedPreceding
+    up, down = vessel.orderBy("_at"), vessel.orderBy(F.col("_at").desc())
+    last = F.max(F.when(F.col("_slow"), F.col("_at"))).over(up.rowsBetween(start, -1))
+    rows = rows.withColumn("_before", F.max("_v").over(up.rangeBetween(start, 0)))
+    rows = rows.withColumn("_new", F.when(F.col("_slow") & (F.col("_at") - last > int(cfg.max_gap_minutes * MINUTE)), 1).otherwise(0))
+    rows = rows.withColumn("segment", F.sum("_new").over(up.rowsBetween(start, 0)))
+    rows = rows.withColumn("_after", F.min("_v").over(down.rangeBetween(start, 0)))
+    # The commonest ship type, the smallest if tied.
+    rows = rows.withColumn("_n", F.count("_type").over(Window.partitionBy("mmsi", "_type")))
+    common = F.when(F.col("_type").isNotNull(), F.struct("_n", (-F.col("_type")).alias("t")))
+    rows = rows.withColumn("_common", F.max(common).over(vessel))
+    segs = rows.where("_slow").groupBy("mmsi", "segment").agg(
+        *_segment_columns(), F.min_by("_before", "_at").alias("_before"), F.max_by("_after", "_at").alias("_after"), F.first("_common").alias("_common")
+    )
+    segs = label(_worthwhile(segs, cfg), cfg)
+    tolerance = int(cfg.draught_lookup_hours * 60 * MINUTE)
+    before = F.when(F.col("_before.at") >= F.unix_micros("timestamp_start") - tolerance, F.col("_before"))
+    after = F.when(F.col("_after.at") <= F.unix_micros("timestamp_end") + tolerance, F.col("_after"))
+    arrival, departure = positive(before["draught"]), positive(after["draught"])
+    out = segs.withColumns(
+        {
+            "draught_arrival": arrival,
+            "draught_departure": departure,
+            "draught_delta": departure - arrival,
+            "destination_raw": before["destination"],
+            "destination_locode": parse_locode(before["destination"]),
+            "ship_type": -F.col("_common.t"),
+        }
+    )
+    return schemas.conform(out, schemas.STOPS)

@@ -74,43 +74,51 @@ CITIES_SQL = """cities AS (
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A name for every nation but the last few."""
-    n = spark.read.parquet(f"{sf_dir}/nation.parquet").where("n_nationkey < 20")
+    """A name for every nation; the last few have codes that no city has, so some codes are unknown."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet")
     k = F.col("n_nationkey")
-    return n.select(F.concat(F.char(F.lit(65) + k), F.char(F.lit(65) + (k * 7) % 26)).alias("iso2"), F.col("n_name").alias("name"))
+    second = F.when(k < 20, F.char(F.lit(65) + (k * 7) % 26)).otherwise(F.lit("0"))
+    return n.select(F.concat(F.char(F.lit(65) + k), second).alias("iso2"), F.col("n_name").alias("name"))
 
 
 COUNTRIES_SQL = """countries AS (
-  SELECT chr(CAST(65 + n_nationkey AS INTEGER)) || chr(CAST(65 + (n_nationkey * 7) % 26 AS INTEGER)) AS iso2, n_name AS name
-  FROM nation WHERE n_nationkey < 20
+  SELECT chr(CAST(65 + n_nationkey AS INTEGER)) || CASE WHEN n_nationkey < 20 THEN chr(CAST(65 + (n_nationkey * 7) % 26 AS INTEGER)) ELSE '0' END AS iso2, n_name AS name
+  FROM nation
 )"""
 
 
 def existing_ports(spark: SparkSession, sf_dir: str, clusters: DataFrame) -> DataFrame:
-    """A database that knows some clusters by their cells and places near others by distance."""
-    known = clusters.where("cluster_id % 3 = 0").select(
+    """A database of every cluster, by its cells, and of a place for every supplier.
+
+    Of three clusters, one is known by all its cells, one by its first, one by cells of
+    another name.  Places lie near some latitudes of clusters and far from others.
+    """
+    k = F.col("cluster_id") % 3
+    cells = F.when(k == 0, F.col("h3_cells")).when(k == 1, F.slice("h3_cells", 1, 1)).otherwise(F.transform("h3_cells", lambda c: F.concat(c, F.lit("x"))))
+    known = clusters.select(
         F.col("cluster_id").cast("long").alias("ordinal"),
         F.concat(F.lit("known-"), F.col("cluster_id").cast("string")).alias("harbour_id"),
-        "h3_cells",
+        cells.alias("h3_cells"),
         F.lit(None).cast("double").alias("centroid_lat"),
         F.lit(None).cast("double").alias("centroid_lon"),
     )
     s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     k = F.col("s_suppkey")
-    near = s.where("s_suppkey <= 40").select(
+    near = s.select(
         (k + 1_000_000).alias("ordinal"),
         F.concat(F.lit("near-"), k.cast("string")).alias("harbour_id"),
         F.lit(None).cast("array<string>").alias("h3_cells"),
-        (F.lit(53.5) + (k % 9) * F.lit(0.5)).alias("centroid_lat"),
+        (F.lit(53.5) + (k % 9) * F.lit(0.75)).alias("centroid_lat"),
         (F.lit(9.9) + (k % 7) * F.lit(0.3)).alias("centroid_lon"),
     )
     return known.unionByName(near)
 
 
 EXISTING_SQL = """existing AS (
-  SELECT CAST(cluster_id AS BIGINT) AS ordinal, 'known-' || CAST(cluster_id AS VARCHAR) AS harbour_id, h3_cells,
-    CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon FROM clusters WHERE cluster_id % 3 = 0
+  SELECT CAST(cluster_id AS BIGINT) AS ordinal, 'known-' || CAST(cluster_id AS VARCHAR) AS harbour_id,
+    CASE cluster_id % 3 WHEN 0 THEN h3_cells WHEN 1 THEN h3_cells[1:1] ELSE list_transform(h3_cells, lambda c: c || 'x') END AS h3_cells,
+    CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon FROM clusters
   UNION ALL
-  SELECT s_suppkey + 1000000, 'near-' || CAST(s_suppkey AS VARCHAR), NULL, 53.5e0 + (s_suppkey % 9) * 0.5e0, 9.9e0 + (s_suppkey % 7) * 0.3e0
-  FROM supplier WHERE s_suppkey <= 40
+  SELECT s_suppkey + 1000000, 'near-' || CAST(s_suppkey AS VARCHAR), NULL, 53.5e0 + (s_suppkey % 9) * 0.75e0, 9.9e0 + (s_suppkey % 7) * 0.3e0
+  FROM supplier
 )"""

@@ -270,14 +270,16 @@ ORACLE = {
     "UNION SELECT p_partkey - p_partkey % 10, p_partkey - p_partkey % 10 FROM part",
     "cluster_stats": chain("clusters") + "SELECT cluster_id, n_cells, n_events, n_unique_mmsi_approx, n_draught_changes, array_to_string(h3_cells, ',') AS cells, "
     + ", ".join(f"round({x}, 3) AS {x}" for x in ("centroid_lat", "centroid_lon", "bbox_min_lat", "bbox_max_lat", "bbox_min_lon", "bbox_max_lon")) + " FROM clusters",
-    "nearest_city": chain("cities") + "SELECT c_custkey AS key, round(min(" + hav("(c_custkey * 53) % 1701 / 10e0 - 85e0", "(c_custkey * 211) % 3600 / 10e0 - 180e0", "lat", "lon")
-    + ") / 1000, 3) AS km FROM customer, cities GROUP BY c_custkey",
+    "nearest_city": chain("cities") + "SELECT c_custkey AS key, round(m / 1000, 3) AS km, name AS nearest_city, cc AS country_iso2, admin1 FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY m, name) AS k FROM "
+    "(SELECT c_custkey, cities.*, " + hav("(c_custkey * 53) % 1701 / 10e0 - 85e0", "(c_custkey * 211) % 3600 / 10e0 - 180e0", "lat", "lon") + " AS m FROM customer, cities)) WHERE k = 1",
     "country_lookup": chain("cities", "countries") + "SELECT DISTINCT cc AS country_iso2, coalesce(countries.name, cc) AS country_name FROM cities LEFT JOIN countries ON iso2 = cc",
     "jaccard": chain("clusters") + "SELECT cluster_id, round(least(n_cells, 2) / n_cells, 6) AS score FROM clusters",
     "cells_match": chain("bycell") + "SELECT cluster_id, harbour_id FROM bycell",
     "centroid_match": chain("bydist") + "SELECT cluster_id, harbour_id FROM bydist",
     "port_id": chain("cities") + f"SELECT name, CASE WHEN cc < 'K' THEN cc ELSE 'ZZ' END || '-' || substr(sha1(from_hex('{_NS}') || encode(name)), 1, 8) AS harbour_id FROM cities",
-    "ports": chain("ports") + "SELECT cluster_id, matched_id, matched_existing, country_iso2, country_name, round(CAST(CAST(km AS FLOAT) AS DOUBLE), 1) AS km FROM ports",
+    "ports": chain("ports", "faces")[:-1] + ",\n" + points("hp", "clusters", "cluster_id", "centroid_lat", "centroid_lon") + ", " + located("hc", "hp", grid.steps(RES - 3))
+    + f"\nSELECT cluster_id, coalesce(matched_id, coalesce(nullif(country_iso2, ''), 'ZZ') || '-' || substr(sha1(from_hex('{_NS}') || encode(hc.cell)), 1, 8)) AS harbour_id, matched_existing, country_iso2, country_name, "
+    "round(CAST(CAST(km AS FLOAT) AS DOUBLE), 1) AS km FROM ports JOIN hc ON hc.id = cluster_id",
     "browse_search_sort": chain("ports") + "SELECT cluster_id AS idx, country_name AS country, n_events AS events, n_unique_mmsi_approx AS vessels, n_cells AS cells FROM ports "
     "JOIN (SELECT cluster_id, name, admin1 FROM (SELECT cluster_id, cities.name, admin1, row_number() OVER (PARTITION BY cluster_id ORDER BY "
     + hav("centroid_lat", "centroid_lon", "lat", "lon") + ", cities.name) AS k FROM clusters, cities) WHERE k = 1) USING (cluster_id) "

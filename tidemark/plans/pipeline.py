@@ -30,7 +30,9 @@ def _interim(spark: SparkSession, cfg: Config, phase: int) -> DataFrame:
 
 def run_phase1(spark: SparkSession, cfg: Config) -> str:
     path = path_join(cfg.data["interim_dir"], FILES[1])
-    write_table(stops.extract_stops(read_messages(spark, cfg.data["raw_glob"], cfg.stops.columns), cfg.stops), path, schemas.STOPS)
+    # With a schema in the settings, files whose columns are all null (and of another type) do no harm.
+    raw = read_messages(spark, cfg.data["raw_glob"], cfg.stops.columns, cfg.data.get("raw_schema"))
+    write_table(stops.extract_stops(raw, cfg.stops), path, schemas.STOPS)
     return path
 
 

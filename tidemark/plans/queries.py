@@ -176,7 +176,7 @@ def components(spark, d):
 
 
 def connected_parts(spark, d):
-    """Components of a graph with long paths: parts and suppliers as nodes."""
+    """Components of a graph of parts: chains of ten."""
     s = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("src"))
     return connected_components(s.select("src", (F.col("src") - F.col("src") % 10 + F.greatest(F.col("src") % 10 - 1, F.lit(0))).alias("dst")))
 
@@ -198,7 +198,7 @@ def nearest_city(spark, d):
     k = F.col("c_custkey")
     places = c.select(k.alias("key"), ((k * 53) % 1701 / F.lit(10.0) - 85.0).alias("lat"), ((k * 211) % 3600 / F.lit(10.0) - 180.0).alias("lon"))
     out = enrich.nearest_city(places, adapter.cities(spark, d), "key", "lat", "lon")
-    return out.select("key", r3("nearest_city_dist_km").alias("km"))
+    return out.select("key", r3("nearest_city_dist_km").alias("km"), "nearest_city", "country_iso2", "admin1")
 
 
 def country_lookup(spark, d):
@@ -237,8 +237,7 @@ def _ports(spark, d) -> DataFrame:
 def ports(spark, d):
     out = _ports(spark, d)
     return out.select(
-        F.col("cluster_id").cast("long").alias("cluster_id"), F.when(F.col("matched_existing"), F.col("harbour_id")).alias("matched_id"),
-        "matched_existing", "country_iso2", "country_name", F.round(F.col("nearest_city_dist_km").cast("double"), 1).alias("km"),
+        F.col("cluster_id").cast("long").alias("cluster_id"), "harbour_id", "matched_existing", "country_iso2", "country_name", F.round(F.col("nearest_city_dist_km").cast("double"), 1).alias("km"),
     )
 
 

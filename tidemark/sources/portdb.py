@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.geo import ring_centroid
+from tidemark.functions.geo import polygons_centroid
 from tidemark.sources.messages import to_s3a
 
 WANTED = {"harbour_id": "string", "h3_cells": "array<string>", "centroid_lat": "double", "centroid_lon": "double"}
@@ -26,27 +26,20 @@ def require(spark: SparkSession, path: str, phase: str) -> str:
 def from_features(features: DataFrame) -> DataFrame:
     """One row per feature (``ordinal``, ``properties``, ``geometry``).
 
-    Where the properties have no centroid, it is that of the geometry's first ring.
+    A feature without a centroid among its properties has that of its geometry: a point,
+    or a polygon or several with all their parts and holes.
     """
     have = set(features.schema["properties"].dataType.fieldNames())
     cols = [F.col(f"properties.{k}").cast(t).alias(k) if k in have else F.lit(None).cast(t).alias(k) for k, t in WANTED.items()]
     out = features.select("ordinal", *cols, F.to_json("geometry").alias("_g") if _struct(features) else F.lit(None).cast("string").alias("_g"))
-    if "centroid_lat" not in have:
-        poly = F.from_json("_g", "type string, coordinates array<array<array<double>>>")
-        multi = F.from_json("_g", "type string, coordinates array<array<array<array<double>>>>")
-        kind = F.get_json_object("_g", "$.type")
-        ring = F.when(kind == "Polygon", F.get(poly["coordinates"], F.lit(0))).when(
-            kind == "MultiPolygon", F.get(F.get(multi["coordinates"], F.lit(0)), F.lit(0))
-        )
-        point = F.from_json("_g", "type string, coordinates array<double>")["coordinates"]
-        c = ring_centroid(ring)
-        out = out.withColumns(
-            {
-                "centroid_lat": F.when(kind == "Point", F.get(point, F.lit(1))).otherwise(c["lat"]),
-                "centroid_lon": F.when(kind == "Point", F.get(point, F.lit(0))).otherwise(c["lon"]),
-            }
-        )
-    return out.drop("_g")
+    poly = F.from_json("_g", "type string, coordinates array<array<array<double>>>")["coordinates"]
+    multi = F.from_json("_g", "type string, coordinates array<array<array<array<double>>>>")["coordinates"]
+    kind = F.get_json_object("_g", "$.type")
+    point = F.from_json("_g", "type string, coordinates array<double>")["coordinates"]
+    c = polygons_centroid(F.when(kind == "Polygon", F.array(poly)).when(kind == "MultiPolygon", multi))
+    own = {"centroid_lat": ("lat", 1), "centroid_lon": ("lon", 0)}
+    place = {k: F.coalesce(k, F.when(kind == "Point", F.get(point, F.lit(i))).otherwise(c[n])) for k, (n, i) in own.items()}
+    return out.withColumns(place).drop("_g")
 
 
 def _struct(features: DataFrame) -> bool:
