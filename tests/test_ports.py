@@ -161,7 +161,7 @@ def test_nearest_city_over_the_whole_globe(spark, n):
     assert {r["k"]: (round(r["nearest_city_dist_km"], 6), r["nearest_city"]) for r in got.collect()} == want
 
 
-def test_centroids_are_of_whole_geometries_and_per_feature(spark):
+def test_centroids_are_of_whole_geometries_and_per_feature(spark, tmp_path):
     box = lambda x, y, s: [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
     shapes = [
         ({"type": "Polygon", "coordinates": [box(0, 0, 4), box(1, 1, 1)]}, {}),
@@ -171,11 +171,9 @@ def test_centroids_are_of_whole_geometries_and_per_feature(spark):
         (None, {}),
         ({"type": "Polygon", "coordinates": []}, {}),
     ]
-    rows = [(i, json.dumps({"harbour_id": f"h{i}"} | p), json.dumps(g) if g else None) for i, (g, p) in enumerate(shapes)]
-    df = spark.createDataFrame(rows, "ordinal int, p string, g string")
-    kinds = "harbour_id string, centroid_lat double, centroid_lon double"
-    df = df.select("ordinal", F.from_json("p", kinds).alias("properties"), F.from_json("g", "type string, coordinates string").alias("geometry"))
-    got = {r["ordinal"]: (r["centroid_lon"], r["centroid_lat"]) for r in portdb.from_features(df).collect()}
+    made = [{"type": "Feature", "geometry": g, "properties": {"harbour_id": f"h{i}"} | p} for i, (g, p) in enumerate(shapes)]
+    (tmp_path / "mixed.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": made}))
+    got = {r["ordinal"]: (r["centroid_lon"], r["centroid_lat"]) for r in portdb.load_port_db(spark, str(tmp_path / "mixed.geojson")).collect()}
     assert got[0] == pytest.approx(((4**3 / 2 - 1.5) / 15,) * 2) and got[1] == pytest.approx(((0.5 + 9 * 11.5) / 10, (0.5 + 9 * 1.5) / 10))
     assert got[2] == (7.0, 8.0) and got[3] == (2.0, 1.0) and got[4] == got[5] == (None, None)
 

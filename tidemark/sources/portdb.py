@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import polygons_centroid
@@ -31,7 +31,7 @@ def from_features(features: DataFrame) -> DataFrame:
     """
     have = set(features.schema["properties"].dataType.fieldNames())
     cols = [F.col(f"properties.{k}").cast(t).alias(k) if k in have else F.lit(None).cast(t).alias(k) for k, t in WANTED.items()]
-    out = features.select("ordinal", *cols, F.to_json("geometry").alias("_g") if _struct(features) else F.lit(None).cast("string").alias("_g"))
+    out = features.select("ordinal", *cols, _geometry(features).alias("_g"))
     poly = F.from_json("_g", "type string, coordinates array<array<array<double>>>")["coordinates"]
     multi = F.from_json("_g", "type string, coordinates array<array<array<array<double>>>>")["coordinates"]
     kind = F.get_json_object("_g", "$.type")
@@ -42,8 +42,10 @@ def from_features(features: DataFrame) -> DataFrame:
     return out.withColumns(place).drop("_g")
 
 
-def _struct(features: DataFrame) -> bool:
-    return "geometry" in features.columns and features.schema["geometry"].dataType.typeName() == "struct"
+def _geometry(features: DataFrame) -> Column:
+    """Its JSON text."""
+    kind = features.schema["geometry"].dataType.typeName() if "geometry" in features.columns else "void"
+    return F.col("geometry") if kind == "string" else F.to_json("geometry") if kind == "struct" else F.lit(None).cast("string")
 
 
 def load_port_db(spark: SparkSession, path: str) -> DataFrame:
@@ -63,7 +65,13 @@ def load_port_db(spark: SparkSession, path: str) -> DataFrame:
         have = raw.columns
     else:
         # A feature collection is one document, so one row; its features are spread out at once.
-        doc = spark.read.option("multiLine", "true").json(path)
+        # Geometries stay text: those of different kinds have no type in common.
+        reader = spark.read.option("multiLine", "true")
+        found = reader.json(path).schema["features"].dataType.elementType
+        fields = ", ".join(f"properties: {f.dataType.simpleString()}" for f in found if f.name == "properties")
+        if not fields:
+            raise ValueError("port database lacks required column harbour_id; its features have no properties")
+        doc = reader.schema(f"features array<struct<geometry: string, {fields}>>").json(path)
         features = doc.select(F.posexplode("features").alias("ordinal", "f")).select("ordinal", "f.*")
         have = features.schema["properties"].dataType.fieldNames()
         if "harbour_id" in have:
