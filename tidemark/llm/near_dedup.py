@@ -279,7 +279,7 @@ def _labelled(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFram
 
     # A component is named by the least id of its nodes.
     member = comp.join(nodes.select(F.col("node").alias("of"), "id"), F.col("node") == F.col("of"))
-    least = member.groupBy(F.col("component").alias("c_")).agg(F.min("id").alias("least"))
+    least = materialise(member.groupBy(F.col("component").alias("c_")).agg(F.min("id").alias("least")), "least")
     member = member.join(least, F.col("component") == F.col("c_")).select(F.col("node").alias("of"), "component", "least")
     named = nodes.select("set_id", "node", "id").join(materialise(member, "members"), F.col("node") == F.col("of"), "left").select(
         F.col("set_id").alias("set_of"), F.coalesce("component", "node").alias("group"), F.when(F.col("of").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
@@ -307,7 +307,7 @@ def keep_one(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame
     each = _labelled(docs, max_broadcast).where("n_shingles > 0").groupBy("doc_id", "t_hash").agg(F.first("group").alias("group"), F.count("*").alias("rows"))
     each = materialise(each, "rows")
     first = each.groupBy(F.col("group").alias("g_")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t_hash")).alias("w"))
-    marked = each.join(first, F.col("group") == F.col("g_"))
+    marked = each.join(materialise(first, "first"), F.col("group") == F.col("g_"))
     stays = (F.col("t_hash") == F.col("w.t_hash")) & F.col("doc_id").eqNullSafe(F.col("w.doc_id"))
     marked = materialise(marked.select(F.col("doc_id").alias("_tm_id"), F.col("t_hash").alias("_tm_hash"), stays.alias("stays"), "rows").where("NOT stays OR rows > 1"), "repeated")
     hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
