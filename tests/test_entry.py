@@ -2,6 +2,7 @@ import ast
 import pathlib
 
 import __spark_entry__ as entry
+from tidemark.plans import round_trips
 from tidemark.plans.oracle import ORACLE
 from tidemark.plans.queries import QUERIES
 
@@ -9,7 +10,8 @@ ROOT = pathlib.Path(entry.__file__).parent
 
 
 def test_every_query_has_sql_but_for_outlines():
-    assert set(QUERIES) - set(ORACLE) == {"cluster_outline", "geojson_export"}
+    assert set(QUERIES) - set(ORACLE) == {"cluster_outline", "geojson_export"}  # their shapes and properties have
+    assert set(round_trips.QUERIES) <= set(ORACLE)
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 

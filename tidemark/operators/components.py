@@ -29,9 +29,10 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _round(e: DataFrame) -> tuple[DataFrame, tuple]:
-    """``e`` written out, with its size and a digest of its rows, which are observed while it is written."""
+    """``e`` written out, with the number and a digest of its rows that are no loops, observed while it is written."""
     seen = Observation()
-    out = materialise(e.observe(seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")), "edges")
+    digest = F.expr("bit_xor(if(u <> v, xxhash64(u, v), 0))")
+    out = materialise(e.observe(seen, F.count_if(F.expr("u <> v")).alias("n"), digest.alias("x")), "edges")
     return out, (seen.get["n"], seen.get["x"])
 
 
@@ -42,8 +43,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     Nodes without a link to another do not appear unless through a self loop.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    loops = e.where("u = v").select("u").distinct()
-    e, state = _round(e.where("u <> v").distinct())
+    written, state = _round(e.distinct())  # once: edges may be dear to compute
+    loops, e = written.where("u = v").select("u"), written.where("u <> v")
     while state[0]:
         (e, new), before = _round(_small_star(_large_star(e))), state
         if new == before:

@@ -205,12 +205,36 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "ports": (
         ("bycell", "bydist", "cities", "countries"),
         f"""geo AS (
-  SELECT cluster_id, cc, km FROM (SELECT cluster_id, cc, {hav("centroid_lat", "centroid_lon", "lat", "lon")} / 1000e0 AS km,
+  SELECT cluster_id, cc, city, admin1, km FROM (SELECT cluster_id, cc, cities.name AS city, admin1, {hav("centroid_lat", "centroid_lon", "lat", "lon")} / 1000e0 AS km,
     row_number() OVER (PARTITION BY cluster_id ORDER BY {hav("centroid_lat", "centroid_lon", "lat", "lon")}, cities.name) AS k FROM clusters, cities) WHERE k = 1
 ), ports AS (
   SELECT clusters.*, coalesce(a.harbour_id, b.harbour_id) AS matched_id, coalesce(a.harbour_id, b.harbour_id) IS NOT NULL AS matched_existing,
-    cc AS country_iso2, coalesce(c.name, cc) AS country_name, km
+    cc AS country_iso2, coalesce(c.name, cc) AS country_name, geo.city, geo.admin1, km
   FROM clusters LEFT JOIN bycell a USING (cluster_id) LEFT JOIN bydist b USING (cluster_id) LEFT JOIN geo USING (cluster_id) LEFT JOIN countries c ON c.iso2 = cc
+)""",
+    ),
+    "outline": (
+        ("clusters",),
+        f"""turns(face, turn) AS (VALUES {", ".join(f"({i + 1}, {int(t)})" for i, t in enumerate(grid.TURN))}
+), round_moves(i, mi, mj) AS (VALUES {", ".join(f"({i}, {m[0]}, {m[1]})" for i, m in enumerate(grid.RING))}
+), rm0 AS (
+  SELECT hl.id AS src, turn * i AS o, hl.id || '/' || i AS id, (c0 + mi) * v0x + (c1 + mj) * v1x + (c2 - mi - mj) * v2x AS sx,
+    (c0 + mi) * v0y + (c1 + mj) * v1y + (c2 - mi - mj) * v2y AS sy, (c0 + mi) * v0z + (c1 + mj) * v1z + (c2 - mi - mj) * v2z AS sz
+  FROM hl JOIN turns USING (face), round_moves
+), rm AS (
+  SELECT src, o, id, sx / sqrt(sx * sx + sy * sy + sz * sz) AS x, sy / sqrt(sx * sx + sy * sy + sz * sz) AS y, sz / sqrt(sx * sx + sy * sy + sz * sz) AS z FROM rm0
+), {located("rl", "rm", grid.steps(RES))}, around AS (
+  SELECT src, cell, x, y, z, row_number() OVER (PARTITION BY src ORDER BY o) AS k, count(*) OVER (PARTITION BY src) AS n FROM rl WHERE cell <> src
+), member AS (SELECT cluster_id, unnest(h3_cells) AS cell FROM clusters
+), edges0 AS (
+  SELECT c.cluster_id, list_sort([c.cell, p.cell, m.cell]) AS ka, list_sort([c.cell, m.cell, q.cell]) AS kb, hm.x + p.x + m.x AS ax, hm.y + p.y + m.y AS ay,
+    hm.z + p.z + m.z AS az, hm.x + m.x + q.x AS bx, hm.y + m.y + q.y AS by_, hm.z + m.z + q.z AS bz
+  FROM member c JOIN hm ON hm.id = c.cell JOIN around m ON m.src = c.cell JOIN around p ON p.src = c.cell AND p.k = (m.k - 2 + m.n) % m.n + 1
+    JOIN around q ON q.src = c.cell AND q.k = m.k % m.n + 1
+  WHERE NOT EXISTS (SELECT 1 FROM member o WHERE o.cluster_id = c.cluster_id AND o.cell = m.cell)
+), edges AS (
+  SELECT cluster_id, array_to_string(ka, '|') AS key, array_to_string(kb, '|') AS next, degrees(atan2(ay, ax)) AS lon, degrees(atan2(az, sqrt(ax * ax + ay * ay))) AS lat,
+    degrees(atan2(by_, bx)) AS lon2, degrees(atan2(bz, sqrt(bx * bx + by_ * by_))) AS lat2 FROM edges0
 )""",
     ),
 }
@@ -236,6 +260,18 @@ SEGMENTS = chain("seg") + (
     "round(lat, 3) AS lat, round(lon, 3) AS lon, CAST(nav_status AS INTEGER) AS nav_status FROM seg"
 )
 _NS = NAMESPACE.replace("-", "")
+#: The final ports and, in ``hc``, the coarse cells that new ids are made of.
+FINAL = chain("ports", "faces")[:-1] + ",\n" + points("hp", "clusters", "cluster_id", "centroid_lat", "centroid_lon") + ", " + located("hc", "hp", grid.steps(RES - 3)) + "\n"
+FRESH = f"coalesce(nullif(country_iso2, ''), 'ZZ') || '-' || substr(sha1(from_hex('{_NS}') || encode(hc.cell)), 1, 8)"
+
+
+def _shown(harbour_id: str, matched: str) -> str:
+    return (
+        f"SELECT cluster_id, n_cells, n_events, n_unique_mmsi_approx, n_draught_changes, {harbour_id} AS harbour_id, {matched} AS matched_existing, country_iso2, country_name, "
+        "city AS nearest_city, admin1, array_to_string(h3_cells, ',') AS cells, round(centroid_lat, 3) AS lat, round(centroid_lon, 3) AS lon, "
+        "round(CAST(CAST(km AS FLOAT) AS DOUBLE), 1) AS km FROM ports JOIN hc ON hc.id = cluster_id"
+    )
+
 
 ORACLE = {
     "candidates": chain("cand") + "SELECT mmsi, t, round(lat, 3) AS lat, round(lon, 3) AS lon, sog, CAST(nav_status AS INTEGER) AS nav_status FROM cand",
@@ -277,13 +313,24 @@ ORACLE = {
     "cells_match": chain("bycell") + "SELECT cluster_id, harbour_id FROM bycell",
     "centroid_match": chain("bydist") + "SELECT cluster_id, harbour_id FROM bydist",
     "port_id": chain("cities") + f"SELECT name, CASE WHEN cc < 'K' THEN cc ELSE 'ZZ' END || '-' || substr(sha1(from_hex('{_NS}') || encode(name)), 1, 8) AS harbour_id FROM cities",
-    "ports": chain("ports", "faces")[:-1] + ",\n" + points("hp", "clusters", "cluster_id", "centroid_lat", "centroid_lon") + ", " + located("hc", "hp", grid.steps(RES - 3))
-    + f"\nSELECT cluster_id, coalesce(matched_id, coalesce(nullif(country_iso2, ''), 'ZZ') || '-' || substr(sha1(from_hex('{_NS}') || encode(hc.cell)), 1, 8)) AS harbour_id, matched_existing, country_iso2, country_name, "
+    "ports": FINAL + f"SELECT cluster_id, coalesce(matched_id, {FRESH}) AS harbour_id, matched_existing, country_iso2, country_name, "
     "round(CAST(CAST(km AS FLOAT) AS DOUBLE), 1) AS km FROM ports JOIN hc ON hc.id = cluster_id",
     "browse_search_sort": chain("ports") + "SELECT cluster_id AS idx, country_name AS country, n_events AS events, n_unique_mmsi_approx AS vessels, n_cells AS cells FROM ports "
-    "JOIN (SELECT cluster_id, name, admin1 FROM (SELECT cluster_id, cities.name, admin1, row_number() OVER (PARTITION BY cluster_id ORDER BY "
-    + hav("centroid_lat", "centroid_lon", "lat", "lon") + ", cities.name) AS k FROM clusters, cities) WHERE k = 1) USING (cluster_id) "
-    "WHERE regexp_matches(name, '(?i)admin-1|nation_1') OR regexp_matches(country_name, '(?i)admin-1|nation_1') OR regexp_matches(admin1, '(?i)admin-1|nation_1')",
+    "WHERE regexp_matches(city, '(?i)admin-1|nation_1') OR regexp_matches(country_name, '(?i)admin-1|nation_1') OR regexp_matches(admin1, '(?i)admin-1|nation_1')",
     "ring_centroid_bounds": "SELECT n_nationkey, round(n_nationkey + 2e0, 3) AS lon, round(n_nationkey / 2e0 + 1e0, 3) AS lat, n_nationkey + 0e0 AS min_lon, "
     "n_nationkey / 2e0 AS min_lat, n_nationkey + 4e0 AS max_lon, n_nationkey / 2e0 + 2e0 AS max_lat FROM nation",
+    "messages_read": chain("ais") + "SELECT mmsi, t // 1000000 * 1000000 AS t, round(lat, 3) AS lat, round(lon, 3) AS lon, sog, nav_status, msg_type, CASE WHEN msg_type = 5 THEN draught END AS draught, "
+    "CASE WHEN msg_type = 5 THEN destination END AS destination, CASE WHEN msg_type = 5 THEN ship_type END AS ship_type FROM ais",
+    "phases": FINAL + _shown(FRESH, "false"),
+    "port_databases": FINAL + "SELECT kind, coalesce(matched_id, " + FRESH + ") AS harbour_id, array_to_string(h3_cells, ',') AS cells, round(centroid_lat, 3) AS lat, round(centroid_lon, 3) AS lon "
+    "FROM ports JOIN hc ON hc.id = cluster_id, (VALUES ('parquet'), ('geojson')) k(kind)",
+    "geojson_properties": FINAL + _shown(f"coalesce(matched_id, {FRESH})", "matched_existing"),
+    "browse_pick": chain("ports") + "SELECT cluster_id AS idx, country_name AS country, n_events AS events, n_unique_mmsi_approx AS vessels, n_cells AS cells FROM ports ORDER BY n_events DESC, cluster_id LIMIT 1 OFFSET 2",
+    "outline_edges": chain("outline") + "SELECT cluster_id, key, next, round(lon, 6) AS lon, round(lat, 6) AS lat FROM edges",
+    "outline_shape": chain("outline") + "SELECT cluster_id, count(*) AS n_corners, round(sum((lon - lon0) * (lat2 - lat0) - (lon2 - lon0) * (lat - lat0)) / 2 * 1e6, 3) AS area, "
+    + ", ".join(f"round(CAST(format('{{:.10g}}', {f}({c})) AS DOUBLE), 6) AS {f}_{c}" for f in ("min", "max") for c in ("lon", "lat")) + " "  # the text has ten digits
+    "FROM edges JOIN (SELECT cluster_id, min(lon) AS lon0, min(lat) AS lat0 FROM edges GROUP BY cluster_id) USING (cluster_id) GROUP BY cluster_id",
+    "geometry_centroid": "SELECT n_nationkey AS ordinal, 'p' || n_nationkey AS harbour_id, round(CASE WHEN n_nationkey % 8 = 1 THEN 1.5e0 WHEN n_nationkey % 4 = 0 THEN 7e0 "
+    "WHEN n_nationkey % 4 = 1 THEN 28e0 / 12 WHEN n_nationkey % 4 = 2 THEN 8.5e0 / 5 END, 3) AS lat, round(CASE n_nationkey % 4 WHEN 0 THEN n_nationkey + 0e0 WHEN 1 THEN 28e0 / 12 "
+    "WHEN 2 THEN 14.5e0 / 5 END, 3) AS lon FROM nation",
 }
