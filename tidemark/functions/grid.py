@@ -41,8 +41,17 @@ def steps(resolution: int) -> int:
     return max(1, round(STEPS_11 * 7 ** ((resolution - 11) / 2)))
 
 
+def _array(items) -> Column:
+    """An array of SQL literals: one call to the JVM, however many they are."""
+    return F.expr(f"array({', '.join(items)})")
+
+
+def _struct(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
+
+
 def _literal(values) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    return _array(f"{float(v)!r}D" for v in values)
 
 
 def _pick(values, face: Column) -> Column:
@@ -66,7 +75,8 @@ def point(lat: Column, lon: Column) -> Column:
 
 def _located(p: Column, n: int) -> Column:
     """``struct<face, c0, c1, c2>``: the face (from 1) and whole coordinates of the lattice point next to ``p``."""
-    dots = F.array(*[p["x"] * float(c[0]) + p["y"] * float(c[1]) + p["z"] * float(c[2]) for c in CENTRES])
+    rows = _array(_struct(**{k: f"{float(v)!r}D" for k, v in zip("xyz", c, strict=True)}) for c in CENTRES)
+    dots = F.transform(rows, lambda c: p["x"] * c["x"] + p["y"] * c["y"] + p["z"] * c["z"])
 
     def weights(face: Column) -> Column:
         w = [sum((p[c] * _pick(INVERSE[:, i, j], face) for j, c in enumerate("xyz")), F.lit(0.0)) for i in range(3)]
@@ -92,7 +102,7 @@ def _located(p: Column, n: int) -> Column:
 
 
 def _name(at: Column, n: int) -> Column:
-    corner = lambda i: F.element_at(F.array(*[F.lit(f"{f[i]:02d}.") for f in FACES]), at["face"])
+    corner = lambda i: F.element_at(_array(f"'{f[i]:02d}.'" for f in FACES), at["face"])
     part = lambda i: F.when(at[f"c{i}"] != 0, F.concat(corner(i), at[f"c{i}"].cast("string")))
     return F.concat(F.lit(f"{n}:"), F.concat_ws("-", *[part(i) for i in range(3)]))
 
@@ -123,7 +133,7 @@ def centre(cell: Column) -> Column:
 def _moved(cell: Column, resolution: int, moves, made) -> Column:
     """``made(i, point, turn)`` of the lattice points that the moves lead to."""
     n = steps(resolution)
-    rows = F.array(*[F.struct(*[F.lit(v).alias(f"m{k}") for k, v in enumerate(m)], F.lit(i).alias("i")) for i, m in enumerate(moves)])
+    rows = _array(_struct(**{f"m{k}": str(v) for k, v in enumerate(m)}, i=str(i)) for i, m in enumerate(moves))
 
     def moved(at: Column, m: Column) -> Column:
         corner = lambda k, j: _pick([VERTICES[f[k], j] for f in FACES], at["face"])
