@@ -9,6 +9,7 @@ from tidemark import schemas
 from tidemark.config import MatchConfig
 from tidemark.functions.geo import EARTH_RADIUS_M, haversine_meters
 from tidemark.functions.vessels import jaccard, port_id
+from tidemark.session import materialise
 
 
 def by_cells(clusters: DataFrame, existing: DataFrame, threshold: float) -> DataFrame:
@@ -50,6 +51,7 @@ def assign_ids(enriched: DataFrame, existing: DataFrame | None = None, cfg: Matc
     fresh = port_id(F.col("centroid_h3_r8"), F.col("country_iso2"))
     if existing is None:
         return enriched.withColumns({"harbour_id": fresh, "matched_existing": F.lit(False)})
+    enriched = materialise(enriched, "enriched")  # read three times
     a = by_cells(enriched, existing, cfg.h3_jaccard_threshold).select(F.col("cluster_id").alias("_a"), F.col("harbour_id").alias("_a_id"))
     b = by_distance(enriched, existing, cfg.centroid_match_distance_meters).select(F.col("cluster_id").alias("_b"), F.col("harbour_id").alias("_b_id"))
     out = enriched.join(a, F.col("cluster_id") == F.col("_a"), "left").join(b, F.col("cluster_id") == F.col("_b"), "left")
