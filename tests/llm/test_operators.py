@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.llm import (
     decontamination,
     html_extraction,
@@ -717,3 +718,24 @@ def test_brute_main_text_agrees(spark):
         body = r["html"][a : b if b >= 0 else None] if a >= 0 else ""
         want[r["page_id"]] = " ".join(html.unescape(re.sub(r"</?(p|h1|br|article)>", " ", body).replace("<b>", "").replace("</b>", "")).split())
     assert {r["page_id"]: r["text"] for r in html_extraction.main_text(p).collect()} == want
+
+
+def test_small_tables_of_near_dedup_are_written_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Each task that writes makes a folder, and on a mounted folder a process for it (``chmod``)."""
+    rng = random.Random(21)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(60)]
+    texts = [" ".join(w[: 60 - k]) for w in base for k in range(4)] + ["", None]
+    conf = {"spark.sql.shuffle.partitions": "37", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    monkeypatch.setattr(session, "work_dir", lambda _: f"file://{tmp_path}")
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_components(docs(spark, texts)).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == brute_components(texts)
+    files = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.iterdir()}
+    assert {"nodes", "several", "buckets", "centres", "stars", "edges", "components", "members"} <= {name.split("-")[0] for name in files}
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism, files

@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.batches import slices
 from tidemark.operators.components import connected_components
-from tidemark.session import BROADCAST_BYTES, broadcast_within, materialise
+from tidemark.session import BROADCAST_BYTES, broadcast_within, counted, dealt, materialise
 
 ROWS, BANDS = 4, 20
 BINS = ROWS * BANDS
@@ -50,6 +50,8 @@ PERCENT = 80
 SHINGLE = 2
 #: Words whose hashes a worker remembers, and the longest of them in bytes: some 10 MB.
 CACHE, CACHED = 50_000, 64
+#: So many shingles are as much to handle as a row.
+SHINGLES_ROW = 16
 #: Bytes of a text that are split into words at a time.
 PIECE = 1 << 20
 
@@ -168,8 +170,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     return _keyed(docs).mapInArrow(run, schema)
 
 
-def _nodes(sigs: DataFrame) -> DataFrame:
-    """One row a distinct set: ``node`` (a number), ``set_id``, its least ``id``, a row ``r`` that has it, ``n`` and ``bands``.
+def _nodes(sigs: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """One row for each distinct set of the ``rows`` of ``sigs``, and how many: ``node`` (a number), ``set_id``, its least ``id``, a row ``r`` that has it, ``n`` and ``bands``.
 
     Numbers are given once and written, so that all that follows sees the same.
     """
@@ -177,7 +179,7 @@ def _nodes(sigs: DataFrame) -> DataFrame:
     found = sigs.where("n_shingles > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("id"), F.min(row).alias("r"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    return materialise(found.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    return counted(found.withColumn("node", F.monotonically_increasing_id()), "nodes", rows)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
@@ -226,21 +228,22 @@ def _rest(left: DataFrame, sets: DataFrame) -> DataFrame:
     nodes are compared: it is on one side of the join at most.
     """
     p = PERCENT
+    work = (left.agg(F.sum("n")).first()[0] or 0) // SHINGLES_ROW
     each = sets.join(left, "node").select("node", "n", "l", F.explode("shingles").alias("h"))
-    often = materialise(each.groupBy(F.col("h").alias("h_")).agg(F.count("*").alias("df")).where("df > 1"), "often")
+    often = materialise(each.groupBy(F.col("h").alias("h_")).agg(F.count("*").alias("df")).where("df > 1"), "often", work)
     shared = each.join(often, F.col("h") == F.col("h_"))
     ranked = shared.groupBy("node").agg(F.first("n").alias("n"), F.first("l").alias("l"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
     ahead = F.col("n") - F.size("s")  # shingles of this node only come first
     room = F.expr(f"n - ({p} * n + 99) div 100 + 1") - ahead
     first = F.slice("s", F.lit(1), F.greatest(room, F.lit(0)).cast("int"))
-    places = materialise(ranked.select("node", "n", "l", ahead.alias("k"), F.posexplode(first).alias("i", "x")).select(
+    places, found = counted(ranked.select("node", "n", "l", ahead.alias("k"), F.posexplode(first).alias("i", "x")).select(
         "node", "n", "l", (F.col("k") + F.col("i") + 1).alias("p"), F.col("x.h").alias("h")
-    ), "prefixes")
+    ), "prefixes", work)
     labels = places.groupBy("h", "l").agg(F.count("*").alias("c")).groupBy(F.col("h").alias("h_"))
     main = labels.agg(F.max(F.struct("c", "l"))["l"].alias("main"), F.count("*").alias("labels")).where("labels > 1")
-    main = materialise(main, "main")
+    main = materialise(main, "main", found // SHINGLES_ROW)
     posts = places.join(main, F.col("h") == F.col("h_")).select("node", "n", "l", "p", "h", (F.col("l") == F.col("main")).alias("m"))
-    posts = materialise(posts, "postings")
+    posts = materialise(posts, "postings", found)
     x, y = (posts.select("h", *[F.col(c).alias(f"{c}{i}") for c in ("node", "n", "l", "p", "m")]) for i in "ab")
     x = x.where(F.expr(f"pa <= na - ({2 * p} * na + {99 + p}) div {100 + p} + 1"))
     need = F.expr(f"({p} * (na + nb) + {99 + p}) div {100 + p}")
@@ -250,50 +253,53 @@ def _rest(left: DataFrame, sets: DataFrame) -> DataFrame:
     return met[0].unionByName(met[1]).distinct()
 
 
-def _labelled(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, t_hash, n_shingles``, its component's ``group`` (null without words) and ``component_id``."""
-    sigs = materialise(signatures(docs), "signatures")
-    nodes = _nodes(sigs)
+def _labelled(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> tuple[DataFrame, int]:
+    """Per row of ``docs``: ``doc_id, t_hash, n_shingles``, its component's ``group`` (null without words) and ``component_id``; and how many rows."""
+    sigs, n_rows = counted(signatures(docs), "signatures")
+    nodes, n_nodes = _nodes(sigs, n_rows)
     rows = nodes.select("node", "n", F.explode("bands").alias("key"))
     # Written apart, here and below, so that a join on a bucket that many nodes share can be split.
-    several = materialise(rows.groupBy(F.col("key").alias("key_")).agg(F.count("*").alias("members")).where("members > 1"), "several")
-    buckets = materialise(rows.join(several, F.col("key") == F.col("key_")).drop("key_"), "buckets")
+    several = materialise(rows.groupBy(F.col("key").alias("key_")).agg(F.count("*").alias("members")).where("members > 1"), "several", n_nodes)
+    buckets, met_in = counted(rows.join(several, F.col("key") == F.col("key_")).drop("key_"), "buckets", n_nodes)
     met = buckets.groupBy(F.col("node").alias("node_")).agg(F.sum("members").alias("met"))
     ranked = buckets.join(met, F.col("node") == F.col("node_")).groupBy(F.col("key").alias("key_"))
-    centre = materialise(ranked.agg(F.max(F.struct("met", "node", "n")).alias("c")).select("key_", F.col("c.node").alias("c_node"), F.col("c.n").alias("c_n")), "centres")
+    centre = materialise(ranked.agg(F.max(F.struct("met", "node", "n")).alias("c")).select("key_", F.col("c.node").alias("c_node"), F.col("c.n").alias("c_n")), "centres", met_in)
     wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("r.doc_id").alias("r_id"), F.col("r.t_hash").alias("r_hash"))
-    sets = sets_of(docs, materialise(wanted, "wanted"), max_broadcast)
+    sets = sets_of(docs, materialise(wanted, "wanted", n_nodes), max_broadcast)
     star = buckets.join(centre, F.col("key") == F.col("key_")).where((F.col("node") != F.col("c_node")) & _close("n", "c_n"))
-    stars = materialise(star.select(F.col("node").alias("a"), F.col("c_node").alias("b")).distinct(), "stars")
-    links = materialise(confirmed(stars, sets), "links")
-    comp = materialise(connected_components(links, "a", "b"), "components")
+    star = star.select(F.col("node").alias("a"), F.col("c_node").alias("b"), (F.col("n") + F.col("c_n")).alias("both")).distinct()
+    stars, shingles = counted(star, "stars", met_in, "sum(both)")
+    links, n_links = counted(confirmed(stars, sets), "links", shingles // SHINGLES_ROW)
+    comp, n_comp = counted(connected_components(links, "a", "b", n_links), "components", n_links)
 
     # What stars leave: nodes of one bucket, in different components.
     labelled = buckets.join(comp.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select("key", "node", "n", F.coalesce("component", "node").alias("l"))
     open_ = labelled.groupBy(F.col("key").alias("key_")).agg(F.min("l").alias("lo"), F.max("l").alias("hi")).where("lo <> hi").select("key_")
-    left = materialise(labelled.join(open_, F.col("key") == F.col("key_"), "left_semi").select("node", "n", "l").distinct(), "open")
-    more = materialise(confirmed(_rest(left, sets).join(stars, ["a", "b"], "left_anti"), sets), "links")
-    if not more.isEmpty():
+    left = materialise(labelled.join(open_, F.col("key") == F.col("key_"), "left_semi").select("node", "n", "l").distinct(), "open", met_in)
+    pairs, n_pairs = counted(_rest(left, sets).join(stars, ["a", "b"], "left_anti"), "pairs")
+    most = left.agg(F.max("n")).first()[0] or 0
+    more, n_more = counted(confirmed(pairs, sets), "links", 2 * most * n_pairs // SHINGLES_ROW)
+    if n_more:
         known = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        comp = materialise(connected_components(known.unionByName(more), "a", "b"), "components")
+        comp, n_comp = counted(connected_components(known.unionByName(more), "a", "b", n_comp + n_more), "components", n_comp + n_more)
 
     # A component is named by the least id of its nodes.
     member = comp.join(nodes.select(F.col("node").alias("of"), "id"), F.col("node") == F.col("of"))
-    least = materialise(member.groupBy(F.col("component").alias("c_")).agg(F.min("id").alias("least")), "least")
+    least = materialise(member.groupBy(F.col("component").alias("c_")).agg(F.min("id").alias("least")), "least", n_comp)
     member = member.join(least, F.col("component") == F.col("c_")).select(F.col("node").alias("of"), "component", "least")
-    named = nodes.select("set_id", "node", "id").join(materialise(member, "members"), F.col("node") == F.col("of"), "left").select(
+    named = nodes.select("set_id", "node", "id").join(materialise(member, "members", n_comp), F.col("node") == F.col("of"), "left").select(
         F.col("set_id").alias("set_of"), F.coalesce("component", "node").alias("group"), F.when(F.col("of").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")
     )
     columns = ["doc_id", "t_hash", "n_shingles", "group", "component_id"]
-    out = sigs.where("n_shingles > 0").join(named, F.col("set_id") == F.col("set_of")).select(*columns)
+    out = dealt(sigs.where("n_shingles > 0").join(named, F.col("set_id") == F.col("set_of")).select(*columns), n_rows)
     alone = sigs.where("n_shingles = 0").withColumns({"group": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
-    return out.unionByName(alone.select(*columns))
+    return out.unionByName(alone.select(*columns)), n_rows
 
 
 def near_components(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
     kept = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    return _labelled(docs, max_broadcast).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return _labelled(docs, max_broadcast)[0].select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def keep_one(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
@@ -304,12 +310,13 @@ def keep_one(docs: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame
     apart by id and text, so another text under the same id stays if it is no copy.
     What goes is broadcast if it is small, so that the texts stay where they are.
     """
-    each = _labelled(docs, max_broadcast).where("n_shingles > 0").groupBy("doc_id", "t_hash").agg(F.first("group").alias("group"), F.count("*").alias("rows"))
-    each = materialise(each, "rows")
+    labelled, n_rows = _labelled(docs, max_broadcast)
+    each = labelled.where("n_shingles > 0").groupBy("doc_id", "t_hash").agg(F.first("group").alias("group"), F.count("*").alias("rows"))
+    each = materialise(each, "rows", n_rows)
     first = each.groupBy(F.col("group").alias("g_")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t_hash")).alias("w"))
-    marked = each.join(materialise(first, "first"), F.col("group") == F.col("g_"))
+    marked = each.join(materialise(first, "first", n_rows), F.col("group") == F.col("g_"))
     stays = (F.col("t_hash") == F.col("w.t_hash")) & F.col("doc_id").eqNullSafe(F.col("w.doc_id"))
-    marked = materialise(marked.select(F.col("doc_id").alias("_tm_id"), F.col("t_hash").alias("_tm_hash"), stays.alias("stays"), "rows").where("NOT stays OR rows > 1"), "repeated")
+    marked = materialise(marked.select(F.col("doc_id").alias("_tm_id"), F.col("t_hash").alias("_tm_hash"), stays.alias("stays"), "rows").where("NOT stays OR rows > 1"), "repeated", n_rows)
     hashed = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
 
     def of(rows: DataFrame, which: str, how: str) -> DataFrame:

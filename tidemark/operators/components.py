@@ -28,25 +28,25 @@ def _small_star(e: DataFrame) -> DataFrame:
     return near.unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
 
 
-def _round(e: DataFrame) -> tuple[DataFrame, tuple]:
-    """``e`` written out, with the number and a digest of its rows that are no loops, observed while it is written."""
+def _round(e: DataFrame, rows: int | None) -> tuple[DataFrame, tuple]:
+    """``e``, of some ``rows``, written out, with the number and a digest of its rows that are no loops, observed while it is written."""
     seen = Observation()
     digest = F.expr("bit_xor(if(u <> v, xxhash64(u, v), 0))")
-    out = materialise(e.observe(seen, F.count_if(F.expr("u <> v")).alias("n"), digest.alias("x")), "edges")
+    out = materialise(e.observe(seen, F.count_if(F.expr("u <> v")).alias("n"), digest.alias("x")), "edges", rows)
     return out, (seen.get["n"], seen.get["x"])
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``(node, component)`` for every node of ``edges``; the component is its least node.
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", rows: int | None = None) -> DataFrame:
+    """``(node, component)`` for every node of ``edges``, some ``rows`` if that is known; the component is its least node.
 
     Self loops and repeated edges are harmless; edges with a null end are ignored.
     Nodes without a link to another do not appear unless through a self loop.
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u IS NOT NULL AND v IS NOT NULL")
-    written, state = _round(e.distinct())  # once: edges may be dear to compute
+    written, state = _round(e.distinct(), rows)  # once: edges may be dear to compute
     loops, e = written.where("u = v").select("u"), written.where("u <> v")
     while state[0]:
-        (e, new), before = _round(_small_star(_large_star(e))), state
+        (e, new), before = _round(_small_star(_large_star(e)), 2 * state[0]), state
         if new == before:
             break
         state = new

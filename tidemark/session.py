@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,18 +58,36 @@ def work_dir(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/tidemark/{spark.sparkContext.applicationId}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Rows, about, for which a task of its own is worth while.
+TASK_ROWS = 1 << 15
+
+
+def dealt(df: DataFrame, rows: int | None) -> DataFrame:
+    """``df``, whose last step handles some ``rows`` (None: not known), in one partition for ``TASK_ROWS`` of them, but at least one a core."""
+    return df if rows is None else df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
+def materialise(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` does, but columnar and compressed, and
-    any executor can read it after another is lost.
+    any executor can read it after another is lost.  ``rows`` as in :func:`dealt`:
+    each task that writes makes a folder and a file, and where the shared folder is a
+    mounted one, each such folder costs a process that the executor forks (``chmod``).
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, dealt(df, rows)
     path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str, rows: int | None = None, total: str = "count(*)") -> tuple[DataFrame, int]:
+    """:func:`materialise`, and how many rows were written, or another ``total`` of them."""
+    seen = Observation()
+    out = materialise(df.observe(seen, F.expr(total).alias("n")), name, rows)
+    return out, seen.get["n"] or 0
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete everything this application wrote with :func:`materialise`, if anything.  Call once results are stored."""
     try:
