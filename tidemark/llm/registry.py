@@ -16,6 +16,7 @@ MODULES = {
     "op2_near_dedup": "near_dedup",
     "op5_decontamination": "decontamination",
     "op9_quality_rules": "quality_rules",
+    "op11_periodic_runs": "periodic_runs",
 }
 
 
