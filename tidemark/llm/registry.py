@@ -17,6 +17,7 @@ MODULES = {
     "op5_decontamination": "decontamination",
     "op9_quality_rules": "quality_rules",
     "op11_periodic_runs": "periodic_runs",
+    "op12_quality_classifier": "quality_classifier",
     "op13_conversation_trie": "conversation_trie",
 }
 
