@@ -12,9 +12,21 @@ from tidemark.functions import grid
 from tidemark.operators.components import connected_components
 
 
+def disks(cells: DataFrame, resolution: int, k: int) -> DataFrame:
+    """``(h3_cell, near)``: the cells within ``k`` rings of each; near a pentagon they are found ring by ring."""
+    if k < 2:
+        return cells.select("h3_cell", F.explode_outer(grid.disk(F.col("h3_cell"), resolution, k)).alias("near"))
+    around = grid.near_pentagon(F.col("h3_cell"), resolution, k)
+    flat = cells.where(~around).select("h3_cell", F.explode_outer(grid.disk(F.col("h3_cell"), resolution, k)).alias("near"))
+    grown = cells.where(around).select("h3_cell", F.col("h3_cell").alias("near"))
+    for _ in range(k):
+        grown = grown.select("h3_cell", F.explode_outer(grid.disk(F.col("near"), resolution, 1)).alias("near")).distinct()
+    return flat.unionByName(grown)
+
+
 def adjacency(cells: DataFrame, resolution: int, k: int = 1) -> DataFrame:
     """``(src, dst)``: pairs of hot cells within ``k`` rings, both ways, without self loops."""
-    near = cells.select(F.col("h3_cell").alias("src"), F.explode_outer(grid.disk(F.col("h3_cell"), resolution, k)).alias("dst"))
+    near = disks(cells.select("h3_cell"), resolution, k).toDF("src", "dst")
     hot = cells.select(F.col("h3_cell").alias("dst"))
     return near.join(hot, "dst").where("src <> dst").select("src", "dst")
 

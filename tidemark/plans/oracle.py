@@ -15,39 +15,61 @@ def _d(x: float) -> str:
     return f"{float(x)!r}" if "e" in repr(float(x)) else f"{float(x)!r}e0"
 
 
-_FACES = ",\n  ".join(
-    "(" + ", ".join([str(i + 1), *map(_d, grid.CENTRES[i]), *map(_d, grid.INVERSE[i].ravel()), *map(_d, grid.VERTICES[list(f)].ravel()), *[f"'{v:02d}.'" for v in f]]) + ")"
-    for i, f in enumerate(grid.FACES)
-)
+_ROWS = ",\n  ".join("(" + ", ".join([str(f), *map(_d, grid.face_row(f).values())]) + ")" for f in range(20))
+_TURNED = [grid._turned(d, n) for n in range(6) for d in range(7)]
+#: The icosahedron's faces, and the grid's tables of whole numbers as lists in one row.
 FACES = (
-    "faces(face, cx, cy, cz, " + ", ".join(f"i{r}{c}" for r in range(3) for c in "xyz") + ", "
-    + ", ".join(f"v{r}{c}" for r in range(3) for c in "xyz") + f", n0, n1, n2) AS (VALUES\n  {_FACES})"
+    "faces(face, " + ", ".join(grid.face_row(0)) + f") AS (VALUES\n  {_ROWS}),\ntabs AS (SELECT "
+    + ", ".join(f"{list(v)} AS t_{k}" for k, v in (*grid.TABLES.items(), ("turned", _TURNED))) + ")"
 )
-CORNERS = "corners(v, vx, vy, vz) AS (VALUES " + ", ".join("(" + ", ".join([str(i), *map(_d, v)]) + ")" for i, v in enumerate(grid.VERTICES)) + ")"
-
-
-def located(name: str, src: str, n: int) -> str:
-    """CTEs: ``src`` has ``id, x, y, z``; ``name`` has ``id, cell, face, c0, c1, c2`` and the face's columns."""
-    return f"""{name}_f AS (
-  SELECT * FROM (SELECT s.*, f.*, row_number() OVER (PARTITION BY id ORDER BY x * cx + y * cy + z * cz DESC, face) AS k FROM {src} s, faces f) WHERE k = 1
-), {name}_w AS (
-  SELECT *, x * i0x + y * i0y + z * i0z AS w0, x * i1x + y * i1y + z * i1z AS w1, x * i2x + y * i2y + z * i2z AS w2 FROM {name}_f
-), {name}_a AS (
-  SELECT *, w0 / (w0 + w1 + w2) * {n} AS a0, w1 / (w0 + w1 + w2) * {n} AS a1, w2 / (w0 + w1 + w2) * {n} AS a2 FROM {name}_w
-), {name}_r AS (
-  SELECT *, round_even(a0, 0) AS r0, round_even(a1, 0) AS r1, round_even(a2, 0) AS r2 FROM {name}_a
-), {name}_d AS (
-  SELECT *, abs(r0 - a0) > abs(r1 - a1) AND abs(r0 - a0) > abs(r2 - a2) AS p, abs(r1 - a1) > abs(r2 - a2) AS q FROM {name}_r
-), {name}_c AS (
-  SELECT *, CAST(CASE WHEN p THEN {n} - r1 - r2 ELSE r0 END AS BIGINT) AS c0,
-    CAST(CASE WHEN NOT p AND q THEN {n} - r0 - r2 ELSE r1 END AS BIGINT) AS c1,
-    CAST(CASE WHEN NOT p AND NOT q THEN {n} - r0 - r1 ELSE r2 END AS BIGINT) AS c2 FROM {name}_d
+
+
+def _shift(r: int) -> int:
+    return 3 * (15 - r)
+
+
+def _lead(n: str, res: int) -> str:
+    return "CASE " + " ".join(f"WHEN ({n} >> {_shift(r)}) & 7 > 0 THEN ({n} >> {_shift(r)}) & 7" for r in range(1, res + 1)) + " ELSE 0 END"
+
+
+def located(name: str, src: str, res: int) -> str:
+    """CTEs: ``src`` has ``id, x, y, z``; ``name`` has ``id, cell``, the lattice point ``face, fa, fb`` and the face's columns."""
+    (c, t), size = grid.turn_of(res), 7.0 ** (res / 2) / grid.UNIT
+    dot = lambda k: " + ".join(f"{x} * {k}{x}" for x in "xyz")
+    out = f"""{name}_f AS (
+  SELECT * FROM (SELECT s.*, f.*, row_number() OVER (PARTITION BY id ORDER BY {dot("c")} DESC, face) AS k FROM {src} s, faces f) WHERE k = 1
+), {name}_x AS (SELECT *, ({dot("u")}) / ({dot("c")}) * {_d(size)} AS px, ({dot("v")}) / ({dot("c")}) * {_d(size)} AS py FROM {name}_f
+), {name}_y AS (SELECT *, px * {_d(c)} + py * {_d(t)} AS hx, (py * {_d(c)} - px * {_d(t)}) / {_d(grid.H)} AS hr FROM {name}_x
+), {name}_q AS (SELECT *, hx - hr / 2 AS hq, round_even(hx - hr / 2, 0) AS rq, round_even(hr, 0) AS rr, round_even(-(hx - hr / 2) - hr, 0) AS rs FROM {name}_y
+), {name}_d AS (SELECT *, abs(rq - hq) > abs(rr - hr) AND abs(rq - hq) > abs(rs + hq + hr) AS p, abs(rr - hr) > abs(rs + hq + hr) AS o FROM {name}_q
+), {name}_e AS (SELECT *, CASE WHEN p THEN -rr - rs ELSE rq END AS eq, CASE WHEN NOT p AND o THEN -rq - rs ELSE rr END AS er FROM {name}_d
+), {name}_l{res} AS (SELECT *, CAST(eq + er AS BIGINT) AS fa, CAST(er AS BIGINT) AS fb, CAST(eq + er AS BIGINT) AS a, CAST(er AS BIGINT) AS b, 0::BIGINT AS n FROM {name}_e
+)"""
+    for r in range(res, 0, -1):
+        (u, v), (d, e) = grid._UP[r % 2], grid._DOWN[r % 2]
+        out += f""", {name}_m{r} AS (SELECT *, CAST(floor(({u[0]} * a + {u[1]} * b + 3.5e0) / 7e0) AS BIGINT) AS ma, CAST(floor(({v[0]} * a + {v[1]} * b + 3.5e0) / 7e0) AS BIGINT) AS mb FROM {name}_l{r}
+), {name}_s{r} AS (SELECT *, a - ({d[0]}) * ma - ({d[1]}) * mb AS da, b - ({e[0]}) * ma - ({e[1]}) * mb AS db FROM {name}_m{r}
+), {name}_l{r - 1} AS (SELECT * EXCLUDE (ma, mb, da, db) REPLACE (ma AS a, mb AS b, n + (4 * da + 2 * db - 7 * least(da, db, 0)) * {1 << _shift(r)}::BIGINT AS n) FROM {name}_s{r}
+)"""
+    digits = " + ".join(f"t_turned[turn * 7 + ((n >> {_shift(r)}) & 7) + 1] * {1 << _shift(r)}::BIGINT" for r in range(1, res + 1))
+    return out + f""", {name}_v AS (
+  SELECT *, face * 27 + (a - least(a, b, 0)) * 9 + (b - least(a, b, 0)) * 3 - least(a, b, 0) AS place, CASE WHEN a - least(a, b, 0) = 2 THEN 0 WHEN b - least(a, b, 0) = 2 THEN 1 ELSE 2 END AS corner,
+    {_lead("n", res)} AS lead FROM {name}_l0, tabs
+), {name}_t AS (
+  SELECT *, t_base[place + 1] AS base, CASE WHEN t_base[place + 1] IN {tuple(grid.PENTAGONS)} THEN t_pent[(face * 3 + corner) * 7 + lead + 1] ELSE t_turn[place + 1] END AS turn FROM {name}_v
 ), {name} AS (
-  SELECT *, '{n}:' || concat_ws('-', CASE WHEN c0 <> 0 THEN n0 || CAST(c0 AS VARCHAR) END, CASE WHEN c1 <> 0 THEN n1 || CAST(c1 AS VARCHAR) END,
-    CASE WHEN c2 <> 0 THEN n2 || CAST(c2 AS VARCHAR) END) AS cell FROM {name}_c
+  SELECT * EXCLUDE ({", ".join(f"t_{k}" for k in (*grid.TABLES, "turned"))}), lower(to_hex({1 << 59 | res << 52 | (1 << _shift(res)) - 1} + base * {1 << 45}::BIGINT + {digits})) AS cell FROM {name}_t
 )"""
 
 
+def placed(a: str, b: str, res: int) -> str:
+    """``sx, sy, sz``: where a lattice point of a face lies on its plane."""
+    (c, t), size = grid.turn_of(res), 7.0 ** (-res / 2)
+    x, y = f"(({a}) - ({b}) / 2e0)", f"(({b}) * {_d(grid.H)})"
+    px, py = f"(({x} * {_d(c)} - {y} * {_d(t)}) * {_d(size)})", f"(({x} * {_d(t)} + {y} * {_d(c)}) * {_d(size)})"
+    return ", ".join(f"c{k} + {_d(grid.UNIT)} * ({px} * u{k} + {py} * v{k}) AS s{k}" for k in "xyz")
+
+
 def points(name: str, src: str, key: str, lat: str, lon: str) -> str:
     return (
         f"{name} AS (SELECT {key} AS id, cos(radians({lat})) * cos(radians({lon})) AS x, cos(radians({lat})) * sin(radians({lon})) AS y, "
@@ -55,14 +77,26 @@ def points(name: str, src: str, key: str, lat: str, lon: str) -> str:
     )
 
 
-def centres(name: str, src: str) -> str:
+def centres(name: str, src: str, res: int) -> str:
     """CTEs: ``src`` has ``cell``; ``name`` has ``id`` (the cell) and its centre ``x, y, z``."""
-    return f"""{name}_p AS (
-  SELECT cell, unnest(list_slice(string_split(replace(cell, '-', ':'), ':'), 2, 9)) AS part FROM (SELECT DISTINCT cell FROM {src})
-), {name}_s AS (
-  SELECT cell AS id, sum(CAST(split_part(part, '.', 2) AS DOUBLE) * vx) AS sx, sum(CAST(split_part(part, '.', 2) AS DOUBLE) * vy) AS sy,
-    sum(CAST(split_part(part, '.', 2) AS DOUBLE) * vz) AS sz
-  FROM {name}_p JOIN corners ON v = CAST(split_part(part, '.', 1) AS INTEGER) GROUP BY cell
+    (c, t), size = grid.turn_of(res), 7.0 ** (-res / 2)
+    out = f"""{name}_n AS (SELECT DISTINCT cell, CAST('0x' || cell AS BIGINT) AS n FROM {src}
+), {name}_b AS (SELECT cell, n, ((n >> 45) & 127) * 7 + {_lead("n", res)} AS seat FROM {name}_n
+), {name}_0 AS (SELECT cell, n, t_face[seat + 1] AS face, t_a[seat + 1] AS a, t_b[seat + 1] AS b, t_back[seat + 1] AS back, t_turned, t_next, t_bend FROM {name}_b, tabs
+)"""
+    for r in range(1, res + 1):
+        d, e = grid._DOWN[r % 2]
+        out += f""", {name}_g{r} AS (SELECT *, t_turned[back * 7 + ((n >> {_shift(r)}) & 7) + 1] AS g FROM {name}_{r - 1}
+), {name}_{r} AS (SELECT * EXCLUDE (g) REPLACE (({d[0]}) * a + ({d[1]}) * b + (g >> 2) - (g & 1) AS a, ({e[0]}) * a + ({e[1]}) * b + ((g >> 1) & 1) - (g & 1) AS b) FROM {name}_g{r}
+)"""
+    far = [f"(-(fx) * {_d(u)} - (fy) * {_d(v)})" for u, v in grid._THIRDS]
+    pick = lambda k: "CASE m WHEN 0 THEN " + f"{_d(grid._THIRDS[0][k])} WHEN 1 THEN {_d(grid._THIRDS[1][k])} ELSE {_d(grid._THIRDS[2][k])} END"
+    return out + f""", {name}_x AS (SELECT *, a - b / 2e0 AS hx, b * {_d(grid.H)} AS hy FROM {name}_{res}
+), {name}_y AS (SELECT *, (hx * {_d(c)} - hy * {_d(t)}) * {_d(size)} AS fx, (hx * {_d(t)} + hy * {_d(c)}) * {_d(size)} AS fy FROM {name}_x
+), {name}_o AS (SELECT *, greatest({", ".join(far)}) > 1 + 1e-9 AS beyond, CASE WHEN {far[0]} >= {far[1]} AND {far[0]} >= {far[2]} THEN 0 WHEN {far[1]} >= {far[2]} THEN 1 ELSE 2 END AS m FROM {name}_y
+), {name}_h AS (SELECT *, fx + 2 * {pick(0)} AS qx, fy + 2 * {pick(1)} AS qy, radians(60e0 * t_bend[face * 3 + m + 1]) AS turn, t_next[face * 3 + m + 1] AS other FROM {name}_o
+), {name}_z AS (SELECT cell, CASE WHEN beyond THEN other ELSE face END AS face, CASE WHEN beyond THEN qx * cos(turn) - qy * sin(turn) ELSE fx END AS zx, CASE WHEN beyond THEN qx * sin(turn) + qy * cos(turn) ELSE fy END AS zy FROM {name}_h
+), {name}_s AS (SELECT cell AS id, {", ".join(f"c{k} + {_d(grid.UNIT)} * (zx * u{k} + zy * v{k}) AS s{k}" for k in "xyz")} FROM {name}_z JOIN faces USING (face)
 ), {name} AS (SELECT id, sx / sqrt(sx * sx + sy * sy + sz * sz) AS x, sy / sqrt(sx * sx + sy * sy + sz * sz) AS y, sz / sqrt(sx * sx + sy * sy + sz * sz) AS z FROM {name}_s)"""
 
 
@@ -130,10 +164,9 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
 )""",
     ),
     "faces": ((), FACES),
-    "corners": ((), CORNERS),
-    "placed": (("stops", "faces"), points("placed_p", "stops", "id", "lat", "lon") + ", " + located("placed", "placed_p", grid.steps(RES))),
+    "placed": (("stops", "faces"), points("placed_p", "stops", "id", "lat", "lon") + ", " + located("placed", "placed_p", RES)),
     "cells": (
-        ("placed", "corners"),
+        ("placed",),
         f"""visit AS (
   SELECT cell, stops.*, {_CLASS} AS cls, coalesce(abs(CAST(dd - da AS FLOAT)) >= CAST({CONFIG.cells.draught_change_threshold_m} AS FLOAT), false) AS changed
   FROM placed JOIN stops USING (id)
@@ -142,7 +175,7 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
 ), tl AS (
   SELECT cell, locode AS top FROM (SELECT cell, locode, row_number() OVER (PARTITION BY cell ORDER BY count(*) DESC, locode) AS k
   FROM visit WHERE locode <> '' GROUP BY cell, locode) WHERE k = 1
-), {centres("mid", "placed")}, cells AS (
+), {centres("mid", "placed", RES)}, cells AS (
   SELECT cell, count(DISTINCT mmsi) AS n_unique_mmsi, count(mmsi) AS n_events, sum(CAST(CAST(minutes AS FLOAT) AS DOUBLE)) AS total, sum(CAST(CAST(minutes AS FLOAT) AS DOUBLE)) / count(minutes) AS mean_minutes,
     count(*) FILTER (WHERE changed) AS n_draught_changes, {", ".join(f"count(*) FILTER (WHERE cls = '{n}') AS n_{n}" for n, _, _ in SHIP_CLASSES)}
   FROM visit GROUP BY cell
@@ -153,13 +186,11 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "disk": (
         ("cells",),
-        centres("hm", "hot") + ", " + located("hl", "hm", grid.steps(RES)) + f""", moves(mi, mj) AS (VALUES {", ".join(f"({i}, {j})" for i, j, _ in grid.disk_moves(K))}
-), mv0 AS (
-  SELECT hl.id AS src, id || '/' || mi || '/' || mj AS id, (c0 + mi) * v0x + (c1 + mj) * v1x + (c2 - mi - mj) * v2x AS sx,
-    (c0 + mi) * v0y + (c1 + mj) * v1y + (c2 - mi - mj) * v2y AS sy, (c0 + mi) * v0z + (c1 + mj) * v1z + (c2 - mi - mj) * v2z AS sz FROM hl, moves
+        centres("hm", "hot", RES) + ", " + located("hl", "hm", RES) + f""", moves(mi, mj) AS (VALUES {", ".join(f"({i}, {j})" for i, j in grid.disk_moves(K))}
+), mv0 AS (SELECT hl.id AS src, id || '/' || mi || '/' || mj AS id, {placed("fa + mi", "fb + mj", RES)} FROM hl, moves
 ), mv AS (
   SELECT src, id, sx / sqrt(sx * sx + sy * sy + sz * sz) AS x, sy / sqrt(sx * sx + sy * sy + sz * sz) AS y, sz / sqrt(sx * sx + sy * sy + sz * sz) AS z FROM mv0
-), {located("nl", "mv", grid.steps(RES))}, disk AS (SELECT DISTINCT src, cell AS near FROM nl)""",
+), {located("nl", "mv", RES)}, disk AS (SELECT DISTINCT src, cell AS near FROM nl)""",
     ),
     "comp": (
         ("disk",),
@@ -215,15 +246,11 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "outline": (
         ("clusters",),
-        f"""turns(face, turn) AS (VALUES {", ".join(f"({i + 1}, {int(t)})" for i, t in enumerate(grid.TURN))}
-), round_moves(i, mi, mj) AS (VALUES {", ".join(f"({i}, {m[0]}, {m[1]})" for i, m in enumerate(grid.RING))}
-), rm0 AS (
-  SELECT hl.id AS src, turn * i AS o, hl.id || '/' || i AS id, (c0 + mi) * v0x + (c1 + mj) * v1x + (c2 - mi - mj) * v2x AS sx,
-    (c0 + mi) * v0y + (c1 + mj) * v1y + (c2 - mi - mj) * v2y AS sy, (c0 + mi) * v0z + (c1 + mj) * v1z + (c2 - mi - mj) * v2z AS sz
-  FROM hl JOIN turns USING (face), round_moves
+        f"""round_moves(i, mi, mj) AS (VALUES {", ".join(f"({i}, {m[0]}, {m[1]})" for i, m in enumerate(grid.RING))}
+), rm0 AS (SELECT hl.id AS src, i AS o, hl.id || '/' || i AS id, {placed("fa + mi", "fb + mj", RES)} FROM hl, round_moves
 ), rm AS (
   SELECT src, o, id, sx / sqrt(sx * sx + sy * sy + sz * sz) AS x, sy / sqrt(sx * sx + sy * sy + sz * sz) AS y, sz / sqrt(sx * sx + sy * sy + sz * sz) AS z FROM rm0
-), {located("rl", "rm", grid.steps(RES))}, around AS (
+), {located("rl", "rm", RES)}, around AS (
   SELECT src, cell, x, y, z, row_number() OVER (PARTITION BY src ORDER BY o) AS k, count(*) OVER (PARTITION BY src) AS n FROM rl WHERE cell <> src
 ), member AS (SELECT cluster_id, unnest(h3_cells) AS cell FROM clusters
 ), edges0 AS (
@@ -261,7 +288,7 @@ SEGMENTS = chain("seg") + (
 )
 _NS = NAMESPACE.replace("-", "")
 #: The final ports and, in ``hc``, the coarse cells that new ids are made of.
-FINAL = chain("ports", "faces")[:-1] + ",\n" + points("hp", "clusters", "cluster_id", "centroid_lat", "centroid_lon") + ", " + located("hc", "hp", grid.steps(RES - 3)) + "\n"
+FINAL = chain("ports", "faces")[:-1] + ",\n" + points("hp", "clusters", "cluster_id", "centroid_lat", "centroid_lon") + ", " + located("hc", "hp", RES - 3) + "\n"
 FRESH = f"coalesce(nullif(country_iso2, ''), 'ZZ') || '-' || substr(sha1(from_hex('{_NS}') || encode(hc.cell)), 1, 8)"
 
 
@@ -289,9 +316,13 @@ ORACLE = {
     "positional_spread": chain("ais") + f"SELECT mmsi, round({SPREAD}, 3) AS spread_m FROM ais GROUP BY mmsi",
     "haversine": chain("cities") + f"SELECT name, round({hav('53.54e0', '9.97e0', 'lat', 'lon')} / 1000, 3) AS km FROM cities",
     "cell_assign": chain("ais", "faces")[:-1] + ",\n" + "msg AS (SELECT *, row_number() OVER () AS id FROM ais), " + points("mp", "msg", "id", "lat", "lon") + ", "
-    + located("fine", "mp", grid.steps(RES)) + ", " + located("coarse", "mp", grid.steps(RES - 3))
+    + located("fine", "mp", RES) + ", " + located("coarse", "mp", RES - 3)
     + "\nSELECT fine.cell AS h3_cell, coarse.cell AS coarse, count(*) AS n FROM fine JOIN coarse USING (id) GROUP BY ALL",
-    "cell_centre": chain("cities", "faces", "corners")[:-1] + ",\n" + points("cp", "cities", "name", "lat", "lon") + ", " + located("cl", "cp", grid.steps(RES)) + ", " + centres("cm", "cl")
+    "cell_parents": chain("ais", "faces")[:-1] + ",\n" + "msg AS (SELECT *, row_number() OVER () AS id FROM ais), " + points("mp", "msg", "id", "lat", "lon") + ", " + located("fine", "mp", RES)
+    + ", cells AS (SELECT CAST('0x' || cell AS BIGINT) AS c, count(*) AS n FROM fine GROUP BY 1)"
+    + "\nSELECT r AS resolution, lower(to_hex((c & ~(15::BIGINT << 52)) | (r::BIGINT << 52) | ((1::BIGINT << (3 * (15 - r))) - 1))) AS cell, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_cells "
+    "FROM cells, (VALUES (8), (5), (0)) k(r) GROUP BY ALL",
+    "cell_centre": chain("cities", "faces")[:-1] + ",\n" + points("cp", "cities", "name", "lat", "lon") + ", " + located("cl", "cp", RES) + ", " + centres("cm", "cl", RES)
     + "\nSELECT id AS h3_cell, round(degrees(asin(z)), 6) AS lat, round(degrees(atan2(y, x)), 6) AS lon FROM cm",
     "grid_disk": chain("disk") + "SELECT src AS h3_cell, near FROM disk",
     "cell_counts": chain("cells") + "SELECT cell AS h3_cell, n_unique_mmsi, n_events, n_draught_changes, " + ", ".join(f"n_{n}" for n, _, _ in SHIP_CLASSES)

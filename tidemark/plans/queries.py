@@ -135,6 +135,13 @@ def cell_assign(spark, d):
     return out.groupBy("h3_cell", "coarse").agg(F.count("*").alias("n"))
 
 
+def cell_parents(spark, d):
+    """Messages per cell of three coarser resolutions: parents are cut from addresses, no place is looked at again."""
+    out = _messages(spark, d).select(grid.cell_at(F.col("lat"), F.col("lon"), RES).alias("c")).groupBy("c").agg(F.count("*").alias("n"))
+    levels = F.explode(F.array(*[F.struct(F.lit(r).alias("resolution"), grid.parent(F.col("c"), r).alias("cell")) for r in (8, 5, 0)]))
+    return out.select("n", levels.alias("p")).groupBy("p.resolution", "p.cell").agg(F.sum("n").alias("n"), F.count("*").alias("n_cells"))
+
+
 def cell_centre(spark, d):
     c = adapter.cities(spark, d).select(grid.cell_at(F.col("lat"), F.col("lon"), RES).alias("h3_cell")).distinct()
     c = c.withColumn("c", grid.centre(F.col("h3_cell")))
@@ -142,8 +149,7 @@ def cell_centre(spark, d):
 
 
 def grid_disk(spark, d):
-    c = _hot(spark, d)
-    return c.select("h3_cell", F.explode_outer(grid.disk(F.col("h3_cell"), RES, K)).alias("near"))
+    return clusters.disks(_hot(spark, d), RES, K)
 
 
 def cell_counts(spark, d):
@@ -272,7 +278,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         candidates, type5, rejected_messages, stop_sessions, stop_segments, session_window_segments, detection_method, asof_draught,
-        ship_type_mode, parse_locode, classify_ship_type, positional_spread, haversine, cell_assign, cell_centre, grid_disk, cell_counts,
+        ship_type_mode, parse_locode, classify_ship_type, positional_spread, haversine, cell_assign, cell_parents, cell_centre, grid_disk, cell_counts,
         cell_visits, top_locode, hot_cells, adjacency, components, connected_parts, cluster_stats, nearest_city, country_lookup, jaccard,
         cells_match, centroid_match, port_id, ports, cluster_outline, geojson_export, browse_search_sort, ring_centroid_bounds,
     )
