@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.scans import Fold, running
+from tidemark.operators.scans import Fold, ranked, running
 
 
 @pytest.mark.parametrize("width", [1, 7, 1000])
@@ -31,3 +31,15 @@ def test_no_window_over_the_rows_of_a_key_alone(spark):
     df = spark.range(10).select(F.lit("k").alias("k"), F.col("id").alias("at"))
     plan = running(df, ["k"], F.expr("at div 4"), [F.col("at")], {"n": Fold(F.sum, F.lit(1))})._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window") == 2 and "Aggregate [k" in plan
+
+
+def test_ranks_over_all_rows(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(20), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "v long, i long")
+    order = [F.col("v").desc(), F.col("i")]
+    out = ranked(df.repartition(7), order, "place")
+    assert "Window [row_number" in out._jdf.queryExecution().toString() and out.columns == ["v", "i", "place"]
+    want = {i: k for k, (_, i) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])))}
+    assert {r["i"]: r["place"] for r in out.collect()} == want
+    assert ranked(df.limit(0), order, "place").count() == 0

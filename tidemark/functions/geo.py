@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import let
+
 EARTH_RADIUS_M = 6_371_000.0
 METERS_PER_DEGREE = 111_320.0
 
@@ -52,14 +54,74 @@ def ring_area(ring: Column) -> Column:
     return F.abs(F.aggregate(steps, F.lit(0.0), step)) / 2
 
 
-def polygons_centroid(polygons: Column) -> Column:
-    """Planar centroid ``struct<lon, lat>`` of ``array<polygon>``, each an outer ring and its holes; without area, the first ring's."""
-    one = lambda ring, i: F.struct((ring_area(ring) * F.when(i == 0, 1.0).otherwise(-1.0)).alias("w"), ring_centroid(ring).alias("c"))
-    parts = F.flatten(F.transform(polygons, lambda rings: F.transform(rings, one)))
-    total = lambda f: F.aggregate(parts, F.lit(0.0), lambda s, x: s + f(x))
-    w = total(lambda x: x["w"])
-    mean = lambda k: total(lambda x: x["w"] * x["c"][k]) / w
-    return F.when(F.size(polygons) > 0, F.when(w > 0, F.struct(mean("lon").alias("lon"), mean("lat").alias("lat"))).otherwise(F.get(parts, F.lit(0))["c"]))
+def _added(parts: Column) -> Column:
+    """The sums of ``struct<w, x, y>``."""
+    zero = F.struct(*[F.lit(0.0).alias(k) for k in "wxy"])
+    return F.aggregate(parts, zero, lambda s, p: F.struct(*[(s[k] + p[k]).alias(k) for k in "wxy"]))
+
+
+def _line_sums(line: Column) -> Column:
+    """Length of a line, and the sums of its segments' middles weighted by their lengths."""
+    at = lambda p, k: F.get(p, F.lit(k))
+
+    def segment(p: Column, q: Column) -> Column:
+        dx, dy = at(q, 0) - at(p, 0), at(q, 1) - at(p, 1)
+        w = F.sqrt(dx * dx + dy * dy)
+        return F.struct(w.alias("w"), (w * (at(p, 0) + at(q, 0)) / 2).alias("x"), (w * (at(p, 1) + at(q, 1)) / 2).alias("y"))
+
+    n = F.greatest(F.size(line) - 1, F.lit(0))
+    return _added(F.zip_with(F.slice(line, F.lit(1), n), F.slice(line, F.lit(2), n), segment))
+
+
+def _ring_sums(ring: Column, i: Column) -> Column:
+    """Area of a polygon's ring, less than 0 for a hole, and its sums of places."""
+    area = ring_area(ring) * F.when(i == 0, 1.0).otherwise(-1.0)
+    return let(F.struct(area.alias("w"), ring_centroid(ring).alias("c")), lambda r: F.struct(r["w"].alias("w"), *[F.coalesce(r["w"] * r["c"][c], F.lit(0.0)).alias(k) for k, c in (("x", "lon"), ("y", "lat"))]))
+
+
+#: Collections within collections are opened this many times.
+NESTED = 4
+
+
+def geometry_centroid(geojson: Column) -> Column:
+    """Planar centroid ``struct<lon, lat>`` of a GeoJSON geometry's text; null for an empty one and for what is none.
+
+    The parts of highest dimension that have any extent decide: polygons by their area; without area, lines and
+    the outlines of polygons by their length; without length, points by their number.
+    """
+    read = lambda g, t: F.from_json(g, f"coordinates {t}")["coordinates"]
+    kind = lambda g: F.get_json_object(g, "$.type")
+    pt = "array<double>"
+    none = lambda t: F.expr(f"cast(array() as array<{t}>)")
+
+    def opened(parts: Column) -> Column:
+        inner = lambda g: F.coalesce(F.from_json(g, "geometries array<string>")["geometries"], none("string"))
+        return F.flatten(F.transform(parts, lambda g: F.when(kind(g) == "GeometryCollection", inner(g)).otherwise(F.array(g))))
+
+    def of(parts: Column, one: str, several: str, item: str) -> Column:
+        """The items of all parts of a kind, single and in sets."""
+        each = lambda g: F.when(kind(g) == one, F.array(read(g, item))).when(kind(g) == several, read(g, f"array<{item}>"))
+        found = F.flatten(F.transform(parts, lambda g: F.coalesce(each(g), none(item))))
+        return F.filter(found, lambda x: x.isNotNull() & (F.size(x) > 0))
+
+    def reduced(q: Column) -> Column:
+        rings = F.flatten(F.transform(q["p"], lambda poly: F.transform(poly, lambda r, i: F.struct(r.alias("r"), i.alias("i")))))
+        lines = F.concat(q["l"], F.flatten(q["p"]))
+        points = F.concat(q["d"], F.transform(lines, lambda x: F.get(x, F.lit(0))))
+        sums = F.struct(
+            _added(F.transform(rings, lambda x: _ring_sums(x["r"], x["i"]))).alias("area"), _added(F.transform(lines, _line_sums)).alias("length"),
+            _added(F.transform(points, lambda p: F.struct(F.lit(1.0).alias("w"), F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))).alias("n"),
+        )
+        mean = lambda s: F.struct((s["x"] / s["w"]).alias("lon"), (s["y"] / s["w"]).alias("lat"))
+        return let(sums, lambda s: F.when(s["area"]["w"] > 0, mean(s["area"])).when(s["length"]["w"] > 0, mean(s["length"])).when(s["n"]["w"] > 0, mean(s["n"])))
+
+    parts = F.array(geojson)
+    for _ in range(NESTED):
+        parts = let(parts, opened)
+    kinds = lambda g: F.struct(
+        of(g, "Polygon", "MultiPolygon", f"array<array<{pt}>>").alias("p"), of(g, "LineString", "MultiLineString", f"array<{pt}>").alias("l"), of(g, "Point", "MultiPoint", pt).alias("d")
+    )
+    return F.when(geojson.isNotNull(), let(let(parts, kinds), reduced))
 
 
 def bounds(points: Column) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.geo import bounds
+from tidemark.operators.scans import ranked
+from tidemark.session import materialise
 
 #: Display name and property.
 DISPLAY = (
@@ -40,9 +41,10 @@ def ordered(shown: DataFrame, by: str = "Events", ascending: bool = False) -> Da
 
 def pick(shown: DataFrame, position: int, by: str = "Events", ascending: bool = False) -> DataFrame:
     """The row at a position (from 0) of the ordered list."""
+    if by not in SORTABLE:
+        raise ValueError(f"sort by one of {SORTABLE}")
     key = F.col(by).asc() if ascending else F.col(by).desc()
-    place = F.row_number().over(Window.orderBy(key, "_idx")) - 1
-    return ordered(shown, by, ascending).limit(position + 1).withColumn("_place", place).where(F.col("_place") == position).drop("_place")
+    return ranked(materialise(shown, "shown"), [key, F.col("_idx")], "_place").where(F.col("_place") == position).drop("_place")
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

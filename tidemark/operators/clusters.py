@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark import schemas
 from tidemark.config import CellConfig, ClusterConfig
 from tidemark.functions import grid
 from tidemark.operators.components import connected_components
+from tidemark.operators.scans import ranked
+from tidemark.session import materialise
 
 
 def disks(cells: DataFrame, resolution: int, k: int) -> DataFrame:
@@ -62,13 +63,10 @@ def cluster_stats(cells: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def numbered(stats: DataFrame, cfg: ClusterConfig) -> DataFrame:
-    """Clusters that are large enough, numbered from 0 by their least cell.
-
-    The number is a rank over all clusters, a few thousand rows of ids; the wide
-    rows are joined to it and stay where they are.
-    """
+    """Clusters that are large enough, numbered from 0 by their least cell."""
     kept = stats.where((F.col("n_cells") >= cfg.min_cells_per_cluster) & (F.col("n_events") >= cfg.min_events_per_cluster))
-    rank = kept.select("component", (F.row_number().over(Window.orderBy("component")) - 1).alias("cluster_id"))
+    kept = materialise(kept, "kept")
+    rank = ranked(kept.select("component"), [F.col("component")], "cluster_id")
     return kept.join(rank, "component")
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.session import materialise
+
 
 class Fold(NamedTuple):
     """An aggregate whose parts can be put together: ``F.sum``, ``F.max``, ``F.min`` or ``F.bit_xor`` of a Column.
@@ -53,3 +55,17 @@ def running(df: DataFrame, key: list[str], bucket: Column, order: list[Column],
     met = [F.col(k) == F.col(f"_k{i}") for i, k in enumerate([*key, "_bucket"])]
     done = {name: _joined(f, F.col(f"_till_{name}"), F.col(name)) for name, f in folds.items()}
     return rows.join(parts, met, "left").withColumns(done).select(*df.columns, *folds)
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with each row's place, from 0, in ``order``, which should leave no ties.
+
+    Rows are dealt into ranges of the order, whose bounds are sampled; each range is numbered by itself, and the
+    sizes of the ranges before it are added.  The driver sees one number a range.  ``df`` is read twice, so it should be a table.
+    """
+    dealt = materialise(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranked")
+    sizes = {r["_range"]: r["n"] for r in dealt.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    before = [sum(n for k, n in sizes.items() if k < i) for i in range(max(sizes, default=-1) + 1)]
+    start = F.get(F.expr(f"cast(array({', '.join(map(str, before))}) as array<bigint>)"), F.col("_range"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.withColumn(name, start + place).drop("_range")

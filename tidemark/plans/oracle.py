@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.functions import grid
 from tidemark.functions.vessels import NAMESPACE, SHIP_CLASSES
 from tidemark.plans.adapter import CITIES_SQL, CONFIG, COUNTRIES_SQL, EXISTING_SQL, MESSAGES_SQL
+from tidemark.plans.shapes import SHAPES, TEXTS
 
 S, RES, K = CONFIG.stops, CONFIG.cells.h3_resolution, CONFIG.clusters.cluster_ring_size
 MIN = 60_000_000
@@ -361,7 +362,7 @@ ORACLE = {
     "outline_shape": chain("outline") + "SELECT cluster_id, count(*) AS n_corners, round(sum((lon - lon0) * (lat2 - lat0) - (lon2 - lon0) * (lat - lat0)) / 2 * 1e6, 3) AS area, "
     + ", ".join(f"round(CAST(format('{{:.10g}}', {f}({c})) AS DOUBLE), 6) AS {f}_{c}" for f in ("min", "max") for c in ("lon", "lat")) + " "  # the text has ten digits
     "FROM edges JOIN (SELECT cluster_id, min(lon) AS lon0, min(lat) AS lat0 FROM edges GROUP BY cluster_id) USING (cluster_id) GROUP BY cluster_id",
-    "geometry_centroid": "SELECT n_nationkey AS ordinal, 'p' || n_nationkey AS harbour_id, round(CASE WHEN n_nationkey % 8 = 1 THEN 1.5e0 WHEN n_nationkey % 4 = 0 THEN 7e0 "
-    "WHEN n_nationkey % 4 = 1 THEN 28e0 / 12 WHEN n_nationkey % 4 = 2 THEN 8.5e0 / 5 END, 3) AS lat, round(CASE n_nationkey % 4 WHEN 0 THEN n_nationkey + 0e0 WHEN 1 THEN 28e0 / 12 "
-    "WHEN 2 THEN 14.5e0 / 5 END, 3) AS lon FROM nation",
+    "geometry_text": "SELECT c_custkey AS key, replace([" + ", ".join("NULL" if j is None else f"'{j}'" for _, j in TEXTS) + f"][c_custkey % {len(TEXTS)} + 1], '#', CAST(c_custkey + 3 AS VARCHAR)) AS geometry FROM customer",
+    "geometry_centroid": "SELECT s_suppkey AS ordinal, 'p' || s_suppkey AS harbour_id, round(CASE WHEN s_suppkey % 8 = 1 THEN 1.5e0 ELSE [" + ", ".join("NULL" if c is None else _d(c[1]) for _, c in SHAPES)
+    + f"][s_suppkey % {len(SHAPES)} + 1] END, 3) AS lat, round([" + ", ".join("NULL" if c is None else _d(c[0]) for _, c in SHAPES) + f"][s_suppkey % {len(SHAPES)} + 1] + CASE WHEN s_suppkey % {len(SHAPES)} = 0 THEN s_suppkey ELSE 0 END, 3) AS lon FROM supplier",
 }

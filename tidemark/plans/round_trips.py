@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.config import Columns
 from tidemark.functions.geo import ring_area
+from tidemark.functions.wkt import geojson
 from tidemark.operators import browse, polygons
 from tidemark.plans import adapter, pipeline, queries
+from tidemark.plans.shapes import SHAPES, TEXTS
 from tidemark.session import materialise, work_dir
 from tidemark.sinks import export
 from tidemark.sources import messages, portdb
@@ -89,7 +91,7 @@ def outline_edges(spark, d):
 def outline_shape(spark, d):
     """Corners, area (in millionths of a square degree) and bounds of the outlines, from their text by way of GeoJSON."""
     made = polygons.add_polygons(queries._clusters(spark, d), queries.RES)
-    doc = export.geometry(F.col("geometry_wkt"))
+    doc = geojson(F.col("geometry_wkt"))
     poly = F.from_json(doc, "type string, coordinates array<array<array<double>>>")["coordinates"]
     multi = F.from_json(doc, "type string, coordinates array<array<array<array<double>>>>")["coordinates"]
     parts = F.when(F.col("geometry_wkt").startswith("POLYGON"), F.array(poly)).otherwise(multi)
@@ -103,18 +105,22 @@ def outline_shape(spark, d):
     )
 
 
+def geometry_text(spark, d):
+    """Well-formed and broken texts of geometries of all kinds, one a customer, as GeoJSON."""
+    k = F.col("c_custkey")
+    text = F.get(F.array(*[F.lit(t).cast("string") for t, _ in TEXTS]), (k % len(TEXTS)).cast("int"))
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    return c.select(k.alias("key"), geojson(F.replace(text, F.lit("#"), (k + 3).cast("string"))).alias("geometry"))
+
+
 def geometry_centroid(spark, d):
-    """Places of known ports that are given as points, polygons with a hole, and several polygons."""
-    n = spark.read.parquet(f"{d}/nation.parquet")
-    k = F.col("n_nationkey")
-    square = lambda x, y, side: "[" + ",".join(f"[{a},{b}]" for a, b in ((x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y))) + "]"
-    shift = F.concat(F.lit('{"type":"Point","coordinates":['), k.cast("string"), F.lit(",7]}"))
-    hole = F.lit(f'{{"type":"Polygon","coordinates":[{square(0, 0, 4)},{square(0, 0, 2)}]}}')
-    several = F.lit(f'{{"type":"MultiPolygon","coordinates":[[{square(0, 0, 2)}],[{square(10, 4, 1)}]]}}')
-    shape = F.when(k % 4 == 0, shift).when(k % 4 == 1, hole).when(k % 4 == 2, several)
+    """Places of known ports, one a supplier, that are given as geometries of all kinds."""
+    k = F.col("s_suppkey")
+    n = spark.read.parquet(f"{d}/supplier.parquet")
+    shape = F.get(F.array(*[F.lit(g).cast("string") for g, _ in SHAPES]), (k % len(SHAPES)).cast("int"))
     own = F.struct(F.concat(F.lit("p"), k.cast("string")).alias("harbour_id"), F.when(k % 8 == 1, F.lit(1.5)).alias("centroid_lat"))
-    out = portdb.from_features(n.select(k.alias("ordinal"), own.alias("properties"), shape.alias("geometry")))
+    out = portdb.from_features(n.select(k.alias("ordinal"), own.alias("properties"), F.replace(shape, F.lit("#"), k.cast("string")).alias("geometry")))
     return out.select("ordinal", "harbour_id", queries.r3("centroid_lat").alias("lat"), queries.r3("centroid_lon").alias("lon"))
 
 
-QUERIES = {f.__name__: f for f in (messages_read, phases, port_databases, geojson_properties, browse_pick, outline_edges, outline_shape, geometry_centroid)}
+QUERIES = {f.__name__: f for f in (messages_read, phases, port_databases, geojson_properties, browse_pick, outline_edges, outline_shape, geometry_text, geometry_centroid)}

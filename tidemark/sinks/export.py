@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.wkt import geojson
 from tidemark.sources.messages import to_s3a
 
 
@@ -22,17 +23,11 @@ def write_table(df: DataFrame, path: str, ddl: str) -> int:
     return seen.get["n"]
 
 
-def geometry(wkt: Column) -> Column:
-    """POLYGON or MULTIPOLYGON text as a GeoJSON geometry (text); null if it is neither."""
-    number = r"-?[0-9.]+(?:[eE][-+]?[0-9]+)?"
-    pairs = F.regexp_replace(wkt, rf"({number}) ({number})", "[$1, $2]")
-    body = F.translate(F.regexp_replace(pairs, r"^[A-Z ]+", ""), "()", "[]")
-    kind = F.when(wkt.startswith("POLYGON ("), "Polygon").when(wkt.startswith("MULTIPOLYGON ("), "MultiPolygon")
-    return F.concat(F.lit('{"type": "'), kind, F.lit('", "coordinates": '), body, F.lit("}"))
+def features(ports: DataFrame, *more: str) -> DataFrame:
+    """``harbour_id, cluster_id`` and ``feature``, the text of one GeoJSON feature, and ``more`` columns.
 
-
-def features(ports: DataFrame) -> DataFrame:
-    """``harbour_id, cluster_id`` and ``feature``, the text of one GeoJSON feature."""
+    An outline that is no geometry becomes null.
+    """
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     props = F.struct(
         "harbour_id", F.coalesce("h3_cells", F.array().cast("array<string>")).alias("h3_cells"), "n_cells", "n_events",
@@ -42,33 +37,61 @@ def features(ports: DataFrame) -> DataFrame:
     )
     made = F.concat(
         F.lit('{"type": "Feature", "geometry": '),
-        F.coalesce(geometry(F.col("geometry_wkt")), F.lit("null")),
+        F.coalesce(geojson(F.col("geometry_wkt")), F.lit("null")),
         F.lit(', "properties": '),
         F.to_json(props, {"ignoreNullFields": "false"}),
         F.lit("}"),
     )
-    return ports.select("harbour_id", "cluster_id", made.alias("feature"))
+    return ports.select("harbour_id", "cluster_id", made.alias("feature"), *more)
+
+
+def _pretty(batches):
+    """Features as members of a document: a comma, the indented text, and its last bracket left to the line's end."""
+    import json
+
+    import pyarrow as pa
 
+    for batch in batches:
+        text = [json.dumps(json.loads(x), ensure_ascii=False, indent=2).replace("\n", "\n    ") for x in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array([",\n    " + t[:-1] for t in text], pa.string()), batch.column(1)], names=["value", "lost"])
 
-def write_geojson(ports: DataFrame, path: str) -> None:
-    """One FeatureCollection document at ``path``, indented by two.
 
-    A single file needs a single writer.  It streams features one partition at a
-    time in cluster order, so no task and no driver holds them all.
+def write_geojson(ports: DataFrame, path: str) -> dict[str, int]:
+    """One FeatureCollection document at ``path``, indented by two, features by ``cluster_id``.
+
+    Tasks format and write the features of ranges of ids, as text files that Spark commits like any other: a lost
+    task is done again.  Then the files, which are in order, are strung together below a name of its own, which becomes ``path`` at once:
+    their bytes are copied by the file system, a buffer at a time, and no feature is looked at again.
+
+    Returns how many features there are, and how many have an outline that is no geometry and is written as null.
     """
-    import json
+    from pyspark.sql import Observation
 
     spark: SparkSession = ports.sparkSession
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to_s3a(path))
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(to_s3a(path))
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = fs.create(target, True)
+    parts, whole = target.suffix(".parts"), target.suffix(".part")
+    fs.delete(parts, True)
+    seen = Observation()
+    lost = F.col("geometry_wkt").isNotNull() & F.col("feature").startswith('{"type": "Feature", "geometry": null')
+    rows = features(ports, "geometry_wkt").select("feature", lost.alias("lost"), "cluster_id")
+    rows = rows.repartitionByRange("cluster_id").sortWithinPartitions("cluster_id").select("feature", "lost")
+    made = rows.mapInArrow(_pretty, "value string, lost boolean").observe(seen, F.count(F.lit(1)).alias("n_features"), F.count_if("lost").alias("n_unreadable"))
+    made.select("value").write.option("lineSep", "}").text(parts.toString())
+    files = sorted(f.getPath().toString() for f in fs.listStatus(parts) if f.getPath().getName().startswith("part-") and f.getLen())
+    out = fs.create(whole, True)
     try:
         out.write(bytearray(b'{\n  "type": "FeatureCollection",\n  "features": ['))
-        first = True
-        for row in features(ports).orderBy("cluster_id").toLocalIterator():
-            body = json.dumps(json.loads(row["feature"]), ensure_ascii=False, indent=2).replace("\n", "\n    ")
-            out.write(bytearray((("" if first else ",") + "\n    " + body).encode()))
-            first = False
-        out.write(bytearray(b"\n  ]\n}\n" if not first else b"]\n}\n"))
+        for k, name in enumerate(files):
+            source = fs.open(jvm.org.apache.hadoop.fs.Path(name))
+            source.seek(int(k == 0))  # no comma before the first feature
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+            source.close()
+        out.write(bytearray(b"\n  ]\n}\n" if files else b"]\n}\n"))
     finally:
         out.close()
+    fs.delete(target, False)
+    fs.rename(whole, target)
+    fs.delete(parts, True)
+    return seen.get

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.geo import polygons_centroid
+from tidemark.functions.geo import geometry_centroid
 from tidemark.sources.messages import to_s3a
 
 WANTED = {"harbour_id": "string", "h3_cells": "array<string>", "centroid_lat": "double", "centroid_lon": "double"}
@@ -26,20 +26,14 @@ def require(spark: SparkSession, path: str, phase: str) -> str:
 def from_features(features: DataFrame) -> DataFrame:
     """One row per feature (``ordinal``, ``properties``, ``geometry``).
 
-    A feature without a centroid among its properties has that of its geometry: a point,
-    or a polygon or several with all their parts and holes.
+    A feature without a centroid among its properties has that of its geometry, whatever its kind.
     """
     have = set(features.schema["properties"].dataType.fieldNames())
     cols = [F.col(f"properties.{k}").cast(t).alias(k) if k in have else F.lit(None).cast(t).alias(k) for k, t in WANTED.items()]
     out = features.select("ordinal", *cols, _geometry(features).alias("_g"))
-    poly = F.from_json("_g", "type string, coordinates array<array<array<double>>>")["coordinates"]
-    multi = F.from_json("_g", "type string, coordinates array<array<array<array<double>>>>")["coordinates"]
-    kind = F.get_json_object("_g", "$.type")
-    point = F.from_json("_g", "type string, coordinates array<double>")["coordinates"]
-    c = polygons_centroid(F.when(kind == "Polygon", F.array(poly)).when(kind == "MultiPolygon", multi))
-    own = {"centroid_lat": ("lat", 1), "centroid_lon": ("lon", 0)}
-    place = {k: F.coalesce(k, F.when(kind == "Point", F.get(point, F.lit(i))).otherwise(c[n])) for k, (n, i) in own.items()}
-    return out.withColumns(place).drop("_g")
+    out = out.withColumn("_c", geometry_centroid(F.col("_g")))
+    place = {k: F.coalesce(k, f"_c.{n}") for k, n in (("centroid_lat", "lat"), ("centroid_lon", "lon"))}
+    return out.withColumns(place).drop("_g", "_c")
 
 
 def _geometry(features: DataFrame) -> Column:
