@@ -141,5 +141,38 @@ def test_one_pass_equals_its_parts(spark):
     short = lambda df: sorted(str([round(x, 6) if isinstance(x, float) else x for x in r]) for r in df.collect())
     one = stops.extract_stops(m, cfg)
     assert short(one) == short(schemas.conform(parts, schemas.STOPS)) and one.count() > 10
-    plan = stops.extract_stops(m, cfg)._jdf.queryExecution().executedPlan().toString()
+    # Messages move once, by vessel and slice; what moves after that are the slices' summaries.
+    plan = stops._pieces(m, cfg, 10**12)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("days", [0.01, 0.3, 7.0])
+def test_slices_do_not_show(spark, days):
+    """Half of all messages are one vessel's; whatever the slices, its stops are those of one slice."""
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for k in range(3000):
+        vessel = 100_000_001 if k % 2 else 100_000_001 + rng.randrange(1, 6)
+        voyage = rng.random() < 0.15
+        minute = rng.choice([rng.randrange(20_000), rng.randrange(40) * 500])
+        status, speed = rng.choice([None, 1, 5, 8]), rng.choice([0.1, 0.2, 4.0, None])
+        rows.append((vessel, 60 * minute - 300_000, 53.5 + rng.random() * 1e-4, 9.9 + rng.random() * 1e-4, speed, status, 5 if voyage else 1, rng.choice([None, 0.0, 4.5, 5.5]) if voyage else None, rng.choice(["DEHAM", None, "NLRTM"]) if voyage else None, rng.choice([70, 80, 0, None])))
+    df = spark.createDataFrame(rows, "mmsi long, t long, lat double, lon double, sog double, nav_status int, msg_type int, draught double, destination string, ship_type int")
+    df = df.withColumn("timestamp", F.timestamp_seconds("t")).drop("t")
+    cfg = StopConfig(max_gap_minutes=90.0, min_stop_duration_minutes=1.0, min_messages_per_stop=2)
+    cut, whole = (sorted((tuple(round(x, 4) if isinstance(x, float) else x for x in r) for r in stops.extract_stops(df, cfg, d).collect()), key=str) for d in (days, 1e5))
+    assert len(whole) > 100 and cut == whole
+    # The plain operators, one vessel to a task, find the same segments.
+    segs = stops.segments(stops.candidates(df, cfg), cfg)
+    plain = sorted((r["mmsi"], r["timestamp_start"], r["timestamp_end"], r["n_messages"], r["nav_status"]) for r in stops.with_voyages(segs, stops.voyages(df, cfg), cfg).collect())
+    assert plain == sorted((r["mmsi"], r["timestamp_start"], r["timestamp_end"], r["n_messages"], r["nav_status"]) for r in stops.extract_stops(df, cfg, days).collect())
+
+
+def test_a_vessel_is_spread_over_tasks(spark):
+    rows = [(100_000_001, k * 3600, 53.5, 9.9, 0.1, 5, 1, None, None, None) for k in range(2400)]
+    df = spark.createDataFrame(rows, "mmsi long, t long, lat double, lon double, sog double, nav_status int, msg_type int, draught double, destination string, ship_type int")
+    pieces = stops._pieces(df.withColumn("timestamp", F.timestamp_seconds("t")).drop("t"), StopConfig(), 10 * 86_400_000_000)
+    assert [r["n"] for r in pieces.collect()] and sorted(r["n"] for r in pieces.groupBy("_slice").agg(F.sum("n").alias("n")).collect()) == [240] * 10
+    assert "hashpartitioning(mmsi" in pieces._jdf.queryExecution().executedPlan().toString() and "_slice" in pieces._jdf.queryExecution().executedPlan().toString().split("hashpartitioning(mmsi")[1][:40]

@@ -1,9 +1,9 @@
 """Phase 1: stop events from raw messages.
 
-:func:`extract_stops` reads the messages once and shuffles them once, by vessel: position
-and voyage (type 5) rows keep their roles as columns, and sessions, the two as-of lookups,
-the vessel's ship type and the segments' aggregates all follow on that exchange.  The
-other functions are its parts as operators of their own.
+:func:`extract_stops` shuffles the messages once, by vessel and slice of time: position
+and voyage (type 5) rows keep their roles as columns, and sessions, the two as-of lookups and
+the segments' aggregates all follow on that exchange, whose results are merged over a vessel's slices.  The
+other functions are its parts as operators of their own, one vessel to a task.
 """
 
 from __future__ import annotations
@@ -14,8 +14,9 @@ from pyspark.sql.window import Window
 
 from tidemark import schemas
 from tidemark.config import StopConfig
-from tidemark.functions.geo import spread_meters
+from tidemark.functions.geo import METERS_PER_DEGREE, spread_meters
 from tidemark.functions.vessels import detection_method, parse_locode, positive
+from tidemark.session import materialise
 
 MINUTE = 60_000_000
 
@@ -115,8 +116,10 @@ def asof(left: DataFrame, right: DataFrame, key: str, start: str, end: str, at:
 
 
 def ship_types(type5: DataFrame) -> DataFrame:
-    """Each vessel's commonest positive ship type, the smallest if tied."""
-    return type5.groupBy("mmsi").agg(F.mode(positive(F.col("ship_type")), True).alias("ship_type"))
+    """Each vessel's commonest positive ship type, the smallest if tied: counted by type before vessels meet."""
+    known = type5.groupBy("mmsi", positive(F.col("ship_type")).alias("t")).agg(F.count("*").alias("n"))
+    best = F.max(F.when(F.col("t").isNotNull(), F.struct("n", (-F.col("t")).alias("t"))))
+    return known.groupBy("mmsi").agg((-best["t"]).cast(type5.schema["ship_type"].dataType).alias("ship_type"))
 
 
 def with_voyages(stops: DataFrame, type5: DataFrame, cfg: StopConfig) -> DataFrame:
@@ -137,48 +140,113 @@ def with_voyages(stops: DataFrame, type5: DataFrame, cfg: StopConfig) -> DataFra
     return out.drop("before", "after").join(ship_types(type5), "mmsi", "left")
 
 
-def extract_stops(messages: DataFrame, cfg: StopConfig | None = None) -> DataFrame:
-    """Stop events in the 16 columns of the contract.
+#: Days of a vessel's messages that one task handles at a time.
+SLICE_DAYS = 30.0
+
+
+def _merged(parts: Column) -> Column:
+    """A segment's statistics from its pieces ``struct<status, n, lat, lon, dlat, dlon>``: means, and sums of squared deviations about them."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(k) for k in ("lat", "lon", "dlat", "dlon")])
+
+    def plus(s: Column, p: Column) -> Column:
+        n = s["n"] + p["n"]
+        mean = lambda k: s[k] + (p[k] - s[k]) * p["n"] / n
+        dev = lambda k: s[f"d{k}"] + p[f"d{k}"] + (p[k] - s[k]) * (p[k] - s[k]) * s["n"] * p["n"] / n
+        return F.struct(n.alias("n"), mean("lat").alias("lat"), mean("lon").alias("lon"), dev("lat").alias("dlat"), dev("lon").alias("dlon"))
+
+    return F.aggregate(F.array_sort(parts), zero, plus)
+
+
+def _commonest(parts: Column) -> Column:
+    """The status of most rows, the smallest if tied."""
+    known = F.array_distinct(F.filter(F.transform(parts, lambda p: p["status"]), lambda s: s.isNotNull()))
+    rows = lambda s: F.aggregate(F.filter(parts, lambda p: p["status"] == s), F.lit(0).cast("long"), lambda a, p: a + p["n"])
+    return -F.array_max(F.transform(known, lambda s: F.struct(rows(s).alias("n"), (-s).alias("s"))))["s"]
+
+
+def _pieces(messages: DataFrame, cfg: StopConfig, slice_us: int) -> DataFrame:
+    """What each slice of a vessel's messages knows of its own segments, by status: a few rows for any number of messages.
 
-    The last voyage at or before a row is a running maximum, the first at or after it a
-    running minimum in the other direction, so each costs one sort and no frame is read
-    twice.  A segment takes the first row's and the last row's.
+    ``first``, ``last``: times of slow rows; ``before``, ``after``: the last voyage row at or before the first of them, the first
+    at or after the last, as far as they lie in the slice; ``v_last``, ``v_first``: of all voyage rows of the slice up to now.
     """
-    cfg = cfg or StopConfig()
     yes = lambda c: F.coalesce(c, F.lit(False))
     type5, slow = yes(F.col("msg_type") == 5), yes(is_candidate(cfg) & in_range(cfg))
     at = F.unix_micros("timestamp")
     rows = messages.where(F.col("mmsi").between(cfg.mmsi_min, cfg.mmsi_max)).select(
-        "mmsi", "timestamp", "lat", "lon", "nav_status", at.alias("_at"), slow.alias("_slow"),
-        F.when(type5, F.struct(at.alias("at"), "draught", "destination")).alias("_v"), F.when(type5, positive(F.col("ship_type"))).alias("_type"),
+        "mmsi", "lat", "lon", "nav_status", at.alias("_at"), F.expr(f"floor(unix_micros(timestamp) / {slice_us})").alias("_slice"), slow.alias("_slow"),
+        F.when(type5, F.struct(at.alias("at"), "draught", "destination")).alias("_v"),
     ).where(F.col("_slow") | F.col("_v").isNotNull())
-    vessel, start = Window.partitionBy("mmsi"), Window.unboundedPreceding
-    up, down = vessel.orderBy("_at"), vessel.orderBy(F.col("_at").desc())
+    part, start = Window.partitionBy("mmsi", "_slice"), Window.unboundedPreceding
+    up, down = part.orderBy("_at"), part.orderBy(F.col("_at").desc())
     last = F.max(F.when(F.col("_slow"), F.col("_at"))).over(up.rowsBetween(start, -1))
     rows = rows.withColumn("_before", F.max("_v").over(up.rangeBetween(start, 0)))
     rows = rows.withColumn("_new", F.when(F.col("_slow") & (F.col("_at") - last > int(cfg.max_gap_minutes * MINUTE)), 1).otherwise(0))
-    rows = rows.withColumn("segment", F.sum("_new").over(up.rowsBetween(start, 0)))
+    rows = rows.withColumn("_seg", F.sum("_new").over(up.rowsBetween(start, 0)))
     rows = rows.withColumn("_after", F.min("_v").over(down.rangeBetween(start, 0)))
-    # The commonest ship type, the smallest if tied.
-    rows = rows.withColumn("_n", F.count("_type").over(Window.partitionBy("mmsi", "_type")))
-    common = F.when(F.col("_type").isNotNull(), F.struct("_n", (-F.col("_type")).alias("t")))
-    rows = rows.withColumn("_common", F.max(common).over(vessel))
-    segs = rows.where("_slow").groupBy("mmsi", "segment").agg(
-        *_segment_columns(), F.min_by("_before", "_at").alias("_before"), F.max_by("_after", "_at").alias("_after"), F.first("_common").alias("_common")
+    when = lambda c: F.when(F.col("_slow"), F.col(c))
+    square = lambda c: F.coalesce(F.var_pop(when(c)) * F.count(when(c)), F.lit(0.0))
+    return rows.groupBy("mmsi", "_slice", "_seg", "nav_status").agg(
+        F.count_if("_slow").alias("n"), F.avg(when("lat")).alias("lat"), F.avg(when("lon")).alias("lon"), square("lat").alias("dlat"), square("lon").alias("dlon"),
+        F.min(when("_at")).alias("first"), F.max(when("_at")).alias("last"), F.min_by("_before", when("_at")).alias("before"), F.max_by("_after", when("_at")).alias("after"),
+        F.max("_v").alias("v_last"), F.min("_v").alias("v_first"),
+    )
+
+
+def _joined(pieces: DataFrame, cfg: StopConfig) -> DataFrame:
+    """Pieces of a vessel's segments put together over its slices, of which each gives one row to look through."""
+    slices = pieces.groupBy("mmsi", "_slice").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.max("_seg").alias("segs"), F.max("v_last").alias("v_last"), F.min("v_first").alias("v_first")
+    )
+    by, zero = Window.partitionBy("mmsi").orderBy("_slice"), F.lit(0).cast("long")
+    past, ahead = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    gap = F.col("first") - F.max("last").over(past) > int(cfg.max_gap_minutes * MINUTE)
+    slices = slices.withColumn("_more", F.col("segs") + F.coalesce(gap, F.lit(False)).cast("int"))
+    # A slice's first segment goes on with the last of the slice before unless there is a gap.
+    slices = slices.select(
+        F.col("mmsi").alias("s_mmsi"), F.col("_slice").alias("s_slice"), (F.coalesce(F.sum("_more").over(past), zero) + F.col("_more") - F.col("segs")).alias("s_start"),
+        F.max("v_last").over(past).alias("s_before"), F.min("v_first").over(ahead).alias("s_after"),
+    )
+    both = pieces.where("n > 0").join(slices, F.expr("mmsi = s_mmsi AND _slice = s_slice"))
+    both = both.withColumns({"segment": F.col("s_start") + F.col("_seg"), "before": F.coalesce("before", "s_before"), "after": F.coalesce("after", "s_after")})
+    part = F.struct(F.col("first").alias("at"), F.col("nav_status").alias("status"), "n", "lat", "lon", "dlat", "dlon")
+    segs = both.groupBy("mmsi", "segment").agg(
+        F.collect_list(part).alias("_parts"), F.min("first").alias("first"), F.max("last").alias("last"), F.min_by("before", "first").alias("_before"), F.max_by("after", "last").alias("_after")
     )
-    segs = label(_worthwhile(segs, cfg), cfg)
+    segs = segs.withColumn("_m", _merged(F.col("_parts")))
+    side = lambda k: F.sqrt(F.col(f"_m.d{k}") / F.col("_m.n")) * METERS_PER_DEGREE
+    north, east = side("lat"), side("lon") * F.abs(F.cos(F.radians("_m.lat")))
+    return segs.select(
+        "mmsi", "segment", "_m.lat", "_m.lon", F.timestamp_micros("first").alias("timestamp_start"), F.timestamp_micros("last").alias("timestamp_end"),
+        ((F.col("last") - F.col("first")) / F.lit(float(MINUTE))).alias("duration_minutes"), F.col("_m.n").alias("n_messages"),
+        F.sqrt(north * north + east * east).alias("pos_variance_meters"), _commonest(F.col("_parts")).alias("nav_status"), "_before", "_after",
+    )
+
+
+def extract_stops(messages: DataFrame, cfg: StopConfig | None = None, slice_days: float = SLICE_DAYS) -> DataFrame:
+    """Stop events in the 16 columns of the contract.
+
+    A vessel's messages are cut into slices of time, each of which is sorted and summarised by itself, so a vessel that sends
+    a third of all messages is spread over as many tasks as it has slices.  Within a slice the last voyage at or
+    before a row is a running maximum, the first at or after it a running minimum in the other direction.  The
+    summaries (:func:`_pieces`), a few rows a segment, are written once; what they lack, the last row and the voyages of the slices before and after,
+    comes from a window over one row a slice (:func:`_joined`).  Ship types are counted from voyage rows alone.
+    """
+    cfg = cfg or StopConfig()
+    pieces = materialise(_pieces(messages, cfg, int(slice_days * 1440 * MINUTE)), "pieces")
+    segs = label(_worthwhile(_joined(pieces, cfg), cfg), cfg)
     tolerance = int(cfg.draught_lookup_hours * 60 * MINUTE)
     before = F.when(F.col("_before.at") >= F.unix_micros("timestamp_start") - tolerance, F.col("_before"))
     after = F.when(F.col("_after.at") <= F.unix_micros("timestamp_end") + tolerance, F.col("_after"))
     arrival, departure = positive(before["draught"]), positive(after["draught"])
-    out = segs.withColumns(
+    types = ship_types(voyages(messages, cfg)).withColumnRenamed("mmsi", "t_mmsi")
+    out = segs.join(types, F.expr("mmsi = t_mmsi"), "left").withColumns(
         {
             "draught_arrival": arrival,
             "draught_departure": departure,
             "draught_delta": departure - arrival,
             "destination_raw": before["destination"],
             "destination_locode": parse_locode(before["destination"]),
-            "ship_type": -F.col("_common.t"),
         }
     )
     return schemas.conform(out, schemas.STOPS)
