@@ -451,6 +451,18 @@ def test_html_reading_is_linear(bit):
     assert took(16_000) < 0.2 + 8 * took(4_000)  # four times as long, not sixteen
 
 
+@pytest.mark.parametrize(("inside", "left"), [
+    ('Hello <span class="advert">BUY NOW</span> world', "Hello world"), ('Hello <label>Subscribe mail</label> world', "Hello world"),
+    ('Hello world <a class="share" href="#">Share this</a>', "Hello world"), ('Hello <b>big</b> <span class="name">wide</span> <a href="#">world</a>', "Hello big wide world"),
+    ('Hello<em class="promo"></em> world', "Hello world"),
+])
+def test_html_inline_elements_that_are_no_text(inside, left):
+    more = "There is more to read in this paragraph, which is about ships and the harbours they call at. " * 2
+    page = f"<html><body><nav><a href='/'>Home</a></nav><article><h1>A title</h1><p>{inside} of ships. {more}</p><p>{more}</p></article></body></html>"
+    (got,) = html_extraction.extract([page], html_extraction.model())
+    assert got == " ".join(f"A title {left} of ships. {more} {more}".split())
+
+
 def test_html_main_text_of_other_layouts():
     """Pages unlike those of training: other tags, names and order."""
     story = ["The council met on Monday to discuss the new bridge over the river.", "Work is to begin in spring, and will take about two years to finish.", "Residents asked for a crossing that is safe for children on their way to school."]

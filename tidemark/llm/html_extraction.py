@@ -10,12 +10,16 @@ order, is the result.
 The model is trained here, on pages that :func:`training_pages` makes from layouts
 with a known main text; their number bounds the sample.
 
+Inline elements follow the block that they are in, unless an attribute names a part of a page that is no main text
+(an advert, a share link) or they are a control's label: those are judged like blocks.  A ``header``, that of an article
+included, is no main text.  Where keeping and dropping an element are worth the same, it is dropped.
+
 White space is what Unicode calls so (``WHITE``), non-breaking spaces included.
 
 Defined results: a null or empty page, or one without text, gives an empty text; an
 empty table gives no rows.  Unclosed and stray tags are tolerated as browsers do; a tag
 that is cut off by the end of the page, or by a quote that is never closed, ends the
-page and is no text.  Of a node's depth, what exceeds 20 counts as 20.  Rows are read
+page and is no text.  Rows are read
 one by one, null and repeated ids and repeated rows included; reading takes time in
 proportion to a page's length.  Only ``page_id``, ``url`` and ``html`` are read by name;
 other columns may have any.
@@ -169,12 +173,19 @@ def parse(page: str) -> Node:
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 
 
+def is_judged(n: Node) -> bool:
+    """Whether an element is judged by itself: a block, or an inline element that says it is no text of its block."""
+    if n.tag in INLINE:
+        return n.tag == "label" or not AGAINST.isdisjoint(n.attrs)
+    return n.tag not in RAW and n.tag not in VOID
+
+
 def blocks(root: Node) -> list[Node]:
-    """The elements that are judged, parents first: all but inline and raw ones."""
+    """The elements that are judged, parents first."""
     out, todo = [], [root]
     while todo:
         n = todo.pop()
-        if n.tag not in INLINE and n.tag not in RAW and n.tag not in VOID:
+        if is_judged(n):
             out.append(n)
         todo.extend(reversed(n.kids))
     return out
@@ -182,7 +193,7 @@ def blocks(root: Node) -> list[Node]:
 
 FEATURES = (
     "text", "links", "density", "words_a_kid", "tags", "depth", "against", "for", "against_above", "for_above", "paragraph", "heading",
-    "list", "place", "siblings", "share", "control",
+    "list", "place", "siblings", "share", "control", "inline",
 )
 _PARAGRAPH = frozenset("p pre blockquote td dd figcaption".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -231,8 +242,8 @@ def describe(root: Node) -> tuple[list[Node], np.ndarray]:
         above[id(n)] = (max(over[0], bad), max(over[1], good))
         place, alike, mate_text = mates[id(n)]
         x[i] = (
-            np.log1p(c), a / max(1.0, c), c / tags, words / max(1, len(n.kids)), np.log1p(tags), min(n.depth, 20), bad, good, *over,
-            n.tag in _PARAGRAPH, n.tag in _HEADING, n.tag in _LIST, place, np.log1p(alike), c / max(1.0, mate_text), n.tag in _CONTROL,
+            np.log1p(c), a / max(1.0, c), c / tags, words / max(1, len(n.kids)), np.log1p(tags), n.depth, bad, good, *over,
+            n.tag in _PARAGRAPH, n.tag in _HEADING, n.tag in _LIST, place, np.log1p(alike), c / max(1.0, mate_text), n.tag in _CONTROL, n.tag in INLINE,
         )
     return nodes, x
 
@@ -276,7 +287,8 @@ def text_of(root: Node, kept: set[int]) -> str:
         elif x.tag in RAW:
             continue
         elif x.tag in INLINE:
-            stack.append((x, iter(x.items)))
+            if not is_judged(x) or id(x) in kept:
+                stack.append((x, iter(x.items)))
         else:
             out.append(" ")
             if id(x) in kept:
@@ -402,12 +414,27 @@ def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[str]:
                 parts.append(bad())
         return "".join(parts)
 
+    inline = random.Random(seed + 1)  # of its own, so that the pages stay what they are
+
+    def noted(page: str) -> str:
+        """A page with labels, adverts and share links within some of its paragraphs."""
+        tags = ('span class="advert"', "label", 'a class="share" href="#"', 'em class="sponsored"', 'span id="promo"', 'a class="comments" href="#"', 'small class="cookie-notice"')
+
+        def put(m: re.Match) -> str:
+            if inline.random() > 0.15:
+                return m[0]
+            tag = inline.choice(tags)
+            words = " ".join("".join(inline.choice("aeioubcdfglmnprst") for _ in range(inline.randint(1, 9))) for _ in range(inline.choice((1, 2, 4, 12, 30))))
+            return f"{m[0]}<{tag}>{words}</{tag.split()[0]}> "
+
+        return re.sub("<p data-main>|<li data-main>|<td data-main>", put, page)
+
     for _ in range(n):
         box = rng.choice(["<article data-main>", '<div class="content" data-main>', '<main data-main><article data-main>', '<div id="post-body" data-main>', '<section class="story" data-main>', "<div data-main>"])
         before = "".join(bad() for _ in range(rng.randint(0, 4)))
         after = "".join(bad() for _ in range(rng.randint(0, 4)))
         shut = "</article></main>" if "main><" in box else f"</{box[1:].split()[0].rstrip('>')}>"
-        yield f"<html data-main><head><title>{line(1, 6)}</title></head><body data-main>{before}{box}{good()}{shut}{after}</body></html>"
+        yield noted(f"<html data-main><head><title>{line(1, 6)}</title></head><body data-main>{before}{box}{good()}{shut}{after}</body></html>")
 
 
 @lru_cache(maxsize=1)
