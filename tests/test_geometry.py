@@ -47,3 +47,48 @@ def test_document_in_parts_with_a_broken_outline(spark, tmp_path):
     assert [k for k, f in enumerate(doc["features"]) if f["geometry"] is None] == [3, 4]
     assert text == json.dumps(doc, ensure_ascii=False, indent=2) + "\n"
     assert sorted(x.name for x in tmp_path.iterdir() if not x.name.startswith(".")) == ["p.geojson"]
+
+
+def documents(rng, n):
+    text = lambda: "".join(rng.choice(['a', '{', '}', '[', ']', '"', "\\", "é", ",", ":", " ", "\n"]) for _ in range(rng.randrange(12)))
+    made = []
+    for i in range(n):
+        props = {"harbour_id": f"p{i}", "note": text(), "more": [{"x": text()}, []], "h3_cells": [text()], "centroid_lat": float(i), "centroid_lon": -float(i)}
+        made.append({"type": "Feature", "geometry": {"type": "Point", "coordinates": [i, 1]}, "properties": props})
+    made[n // 2]["properties"]["note"] = "long } " * 3000
+    return {"type": "FeatureCollection", "name": text(), "crs": {"type": "name", "properties": {"name": text()}}, "features": made, "bbox": [0, 1, 2, 3], "after": {"x": {"y": {}}}}
+
+
+def test_features_by_ranges_of_bytes(spark, tmp_path):
+    import random
+
+    from tidemark.sources import geojson as source
+
+    rng = random.Random(6)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for k, (bytes_, style) in enumerate([("3000", {"indent": 2}), ("700", {"separators": (",", ":")}), ("128m", {"ensure_ascii": False})]):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+            doc = documents(rng, 120)
+            path = tmp_path / f"{k}.geojson"
+            path.write_text(json.dumps(doc, **style) + "\n" * (k % 2))
+            rows = source.features(spark, str(path)).orderBy("ordinal").collect()
+            assert [json.loads(r["feature"]) for r in rows] == doc["features"]
+            if bytes_ != "128m":
+                assert len({r["ordinal"]["block"] for r in rows}) > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_cut_and_empty_documents(spark, tmp_path):
+    import pytest
+
+    from tidemark.sources import geojson as source
+
+    text = json.dumps(documents(__import__("random").Random(7), 5))
+    for bad in (text[:-1], text[: len(text) // 2], text + "}", "[" + text, '{"features": [{"a": "x'):
+        (tmp_path / "bad.geojson").write_text(bad)
+        with pytest.raises(ValueError, match="no JSON document"):
+            source.features(spark, str(tmp_path / "bad.geojson"))
+    (tmp_path / "none.geojson").write_text('{"type": "FeatureCollection", "features": []}')
+    assert source.features(spark, str(tmp_path / "none.geojson")).count() == 0

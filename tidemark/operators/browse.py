@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.geo import bounds
 from tidemark.operators.scans import ranked
 from tidemark.session import materialise
+from tidemark.sources.geojson import features
 
 #: Display name and property.
 DISPLAY = (
@@ -47,10 +48,17 @@ def pick(shown: DataFrame, position: int, by: str = "Events", ascending: bool =
     return ranked(materialise(shown, "shown"), [key, F.col("_idx")], "_place").where(F.col("_place") == position).drop("_place")
 
 
+#: What a viewer reads of a feature.
+PROPERTIES = (
+    "harbour_id: string, h3_cells: array<string>, n_cells: int, n_events: int, n_unique_mmsi_approx: int, n_draught_changes: int, centroid_lat: double, centroid_lon: double, "
+    "country_iso2: string, country_name: string, nearest_city: string, nearest_city_dist_km: double, admin1: string, matched_existing: boolean"
+)
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """The features of a collection, kept in memory: small, and read again and again."""
-    doc = spark.read.option("multiLine", "true").json(path)
-    return doc.select(F.posexplode("features").alias("_idx", "f")).select("_idx", "f.*").cache()
+    """``_idx`` (from 0, in the document's order), ``geometry`` (text) and ``properties`` of the features of a collection, read once and stored."""
+    one = F.from_json("feature", f"geometry string, properties struct<{PROPERTIES}>", {"mode": "FAILFAST"})
+    return ranked(features(spark, path), [F.col("ordinal")], "_idx").select("_idx", one.alias("f")).select("_idx", "f.*")
 
 
 def with_bounds(ports: DataFrame) -> DataFrame:

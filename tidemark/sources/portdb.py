@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.geo import geometry_centroid
+from tidemark.operators.scans import ranked
+from tidemark.sources.geojson import features
 from tidemark.sources.messages import to_s3a
 
 WANTED = {"harbour_id": "string", "h3_cells": "array<string>", "centroid_lat": "double", "centroid_lon": "double"}
@@ -23,22 +25,22 @@ def require(spark: SparkSession, path: str, phase: str) -> str:
     return path
 
 
-def from_features(features: DataFrame) -> DataFrame:
+def from_features(rows: DataFrame) -> DataFrame:
     """One row per feature (``ordinal``, ``properties``, ``geometry``).
 
     A feature without a centroid among its properties has that of its geometry, whatever its kind.
     """
-    have = set(features.schema["properties"].dataType.fieldNames())
+    have = set(rows.schema["properties"].dataType.fieldNames())
     cols = [F.col(f"properties.{k}").cast(t).alias(k) if k in have else F.lit(None).cast(t).alias(k) for k, t in WANTED.items()]
-    out = features.select("ordinal", *cols, _geometry(features).alias("_g"))
+    out = rows.select("ordinal", *cols, _geometry(rows).alias("_g"))
     out = out.withColumn("_c", geometry_centroid(F.col("_g")))
     place = {k: F.coalesce(k, f"_c.{n}") for k, n in (("centroid_lat", "lat"), ("centroid_lon", "lon"))}
     return out.withColumns(place).drop("_g", "_c")
 
 
-def _geometry(features: DataFrame) -> Column:
+def _geometry(rows: DataFrame) -> Column:
     """Its JSON text."""
-    kind = features.schema["geometry"].dataType.typeName() if "geometry" in features.columns else "void"
+    kind = rows.schema["geometry"].dataType.typeName() if "geometry" in rows.columns else "void"
     return F.col("geometry") if kind == "string" else F.to_json("geometry") if kind == "struct" else F.lit(None).cast("string")
 
 
@@ -58,16 +60,12 @@ def load_port_db(spark: SparkSession, path: str) -> DataFrame:
             return raw.select(place.alias("ordinal"), *cols)
         have = raw.columns
     else:
-        # A feature collection is one document, so one row; its features are spread out at once.
         # Geometries stay text: those of different kinds have no type in common.
-        reader = spark.read.option("multiLine", "true")
-        found = reader.json(path).schema["features"].dataType.elementType
-        fields = ", ".join(f"properties: {f.dataType.simpleString()}" for f in found if f.name == "properties")
-        if not fields:
-            raise ValueError("port database lacks required column harbour_id; its features have no properties")
-        doc = reader.schema(f"features array<struct<geometry: string, {fields}>>").json(path)
-        features = doc.select(F.posexplode("features").alias("ordinal", "f")).select("ordinal", "f.*")
-        have = features.schema["properties"].dataType.fieldNames()
-        if "harbour_id" in have:
-            return from_features(features)
+        fields = ", ".join(f"{k}: {t}" for k, t in WANTED.items())
+        found = ranked(features(spark, path).withColumnRenamed("ordinal", "at"), [F.col("at")], "ordinal")
+        one = F.from_json("feature", f"geometry string, properties struct<{fields}>", {"mode": "FAILFAST"})
+        if found.where(F.get_json_object("feature", "$.properties.harbour_id").isNotNull()).isEmpty():
+            keys = found.select(F.explode(F.json_object_keys(F.get_json_object("feature", "$.properties")))).distinct().collect()
+            raise ValueError(f"port database lacks required column harbour_id; it has {sorted(r[0] for r in keys)}")
+        return from_features(found.select("ordinal", one.alias("f")).select("ordinal", "f.*"))
     raise ValueError(f"port database lacks required column harbour_id; it has {sorted(have)}")
