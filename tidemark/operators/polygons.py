@@ -90,11 +90,57 @@ def wkt(made: list[list[list[tuple[float, float]]]]) -> str | None:
     return f"POLYGON {body[0]}" if len(body) == 1 else "MULTIPOLYGON (" + ", ".join(body) + ")"
 
 
-def _unwrapped(made: list[tuple[str, float, float, str]]) -> list[tuple[str, float, float, str]]:
-    """Longitudes of a set across the antimeridian, without the jump."""
-    if not made or max(e[1] for e in made) - min(e[1] for e in made) <= 180:
-        return made
-    return [(k, lon + 360 if lon < 0 else lon, lat, nxt) for k, lon, lat, nxt in made]
+def unrolled(found: list[list[tuple[float, float]]]) -> list[list[tuple[float, float]]]:
+    """Rings with longitudes that run on over the antimeridian, all about as far east as the first.
+
+    A ring that does not come back to its longitude goes round a pole: it is closed along the pole's
+    parallel, so that what it encloses on the map is what it encloses on the globe.
+    """
+    out: list[list[tuple[float, float]]] = []
+    for ring in found:
+        line = [ring[0]]
+        for lon, lat in ring[1:]:
+            line.append((lon - 360 * round((lon - line[-1][0]) / 360), lat))
+        if abs(line[-1][0] - line[0][0]) > 180:
+            pole = 90.0 if sum(p[1] for p in line) > 0 else -90.0
+            line += [(line[-1][0], pole), (line[0][0], pole), line[0]]
+        middle = lambda r: sum(p[0] for p in r) / len(r)
+        shift = 360 * round((middle(line) - middle(out[0])) / 360) if out else 0
+        out.append([(lon - shift, lat) for lon, lat in line])
+    return out
+
+
+def _cut(ring: list[tuple[float, float]], at: float, side: int) -> list[tuple[float, float]]:
+    """The part of a ring on one side of a meridian (1: east, -1: west), closed along it; empty if there is none."""
+    out: list[tuple[float, float]] = []
+    for a, b in zip(ring, ring[1:], strict=False):
+        if (a[0] - at) * side >= 0:
+            out.append(a)
+        if (a[0] - at) * (b[0] - at) < 0:
+            out.append((at, a[1] + (b[1] - a[1]) * (at - a[0]) / (b[0] - a[0])))
+    out = [p for k, p in enumerate(out) if p != out[k - 1]]
+    return [*out, out[0]] if len(out) > 2 and abs(area([*out, out[0]])) > 0 else []
+
+
+def on_map(made: list[list[list[tuple[float, float]]]]) -> list[list[list[tuple[float, float]]]]:
+    """Polygons cut at the antimeridian, each part with longitudes from -180 to 180."""
+    out = []
+    for polygon in made:
+        lons = [p[0] for p in polygon[0]]
+        for k in range(math.floor((min(lons) + 180) / 360), math.ceil((max(lons) + 180) / 360)):
+            parts = [_cut(_cut(r, 360 * k - 180, 1), 360 * k + 180, -1) for r in polygon]
+            parts = [[(lon - 360 * k, lat) for lon, lat in r] for r in parts if r]
+            if parts:
+                out.append(parts)
+    return out
+
+
+def shapes(edges: list[tuple[str, float, float, str]]) -> list[list[list[tuple[float, float]]]]:
+    """Polygons of a set's outline; those that cross the antimeridian or hold a pole are cut."""
+    found = rings(edges)
+    if all(abs(a[0] - b[0]) <= 180 for r in found for a, b in zip(r, r[1:], strict=False)):
+        return polygons(found)
+    return on_map(polygons(unrolled(found)))
 
 
 def add_polygons(clusters: DataFrame, resolution: int) -> DataFrame:
@@ -102,7 +148,7 @@ def add_polygons(clusters: DataFrame, resolution: int) -> DataFrame:
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         edges = [(r.key, float(r.lon), float(r.lat), r.next) for r in pdf.itertuples() if not math.isnan(r.lon)]
-        return pd.DataFrame({"_id": [int(pdf["cluster_id"].iloc[0])], "geometry_wkt": [wkt(polygons(rings(_unwrapped(edges))))]})
+        return pd.DataFrame({"_id": [int(pdf["cluster_id"].iloc[0])], "geometry_wkt": [wkt(shapes(edges))]})
 
     made = outline_edges(clusters, resolution).groupBy("cluster_id").applyInPandas(one, "_id int, geometry_wkt string")
     return clusters.join(made, F.col("cluster_id") == F.col("_id"), "left").drop("_id")

@@ -32,13 +32,13 @@ def run_phase1(spark: SparkSession, cfg: Config) -> str:
     path = path_join(cfg.data["interim_dir"], FILES[1])
     # With a schema in the settings, files whose columns are all null (and of another type) do no harm.
     raw = read_messages(spark, cfg.data["raw_glob"], cfg.stops.columns, cfg.data.get("raw_schema"))
-    write_table(stops.extract_stops(raw, cfg.stops), path, schemas.STOPS)
+    write_table(stops.extract_stops(raw, cfg.stops), path, schemas.STOPS, distinct="mmsi")
     return path
 
 
 def run_phase2(spark: SparkSession, cfg: Config) -> str:
     path = path_join(cfg.data["interim_dir"], FILES[2])
-    write_table(cells.count_cells(_interim(spark, cfg, 1), cfg.cells), path, schemas.CELLS)
+    write_table(cells.count_cells(_interim(spark, cfg, 1), cfg.cells), path, schemas.CELLS, distinct="h3_cell")
     return path
 
 

@@ -14,15 +14,30 @@ def path_join(folder: str, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
-def write_table(df: DataFrame, path: str, ddl: str) -> int:
-    """Write in the schema of the contract; the number of rows is observed on the way, not counted again."""
+def write_table(df: DataFrame, path: str, ddl: str, distinct: str | None = None) -> int:
+    """Write in the schema of the contract; the number of rows is observed on the way, not counted again.
+
+    With ``distinct`` a sketch of that column's different values is observed, too, and kept beside the table (see :func:`metrics`).
+    """
     from pyspark.sql import Observation
 
-    seen = Observation()
-    schemas.conform(df, ddl).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(to_s3a(path))
+    seen, spark = Observation(), df.sparkSession
+    more = [F.hll_sketch_agg(F.col(distinct)).alias("sketch")] if distinct else []
+    schemas.conform(df, ddl).observe(seen, F.count(F.lit(1)).alias("n"), *more).write.mode("overwrite").parquet(to_s3a(path))
+    if distinct:
+        row = spark.createDataFrame([(distinct, seen.get["n"], seen.get["sketch"])], "name string, n long, sketch binary")
+        row.withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(to_s3a(path) + ".metrics")
     return seen.get["n"]
 
 
+def metrics(spark: SparkSession, path: str) -> DataFrame:
+    """``name, runs, n_rows, n_distinct`` of what was ever written at ``path``: sketches of runs are merged, so a value that comes again counts once."""
+    rows = spark.read.parquet(to_s3a(path) + ".metrics")
+    return rows.groupBy("name").agg(
+        F.count("*").alias("runs"), F.sum("n").alias("n_rows"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct")
+    )
+
+
 def features(ports: DataFrame, *more: str) -> DataFrame:
     """``harbour_id, cluster_id`` and ``feature``, the text of one GeoJSON feature, and ``more`` columns.
 
