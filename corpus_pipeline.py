@@ -4,6 +4,12 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is writt
 as Parquet in the shared folder and read again as the next stage's ``docs``, so a
 lost executor never costs more than one stage.  All but the last keep the columns
 of ``documents``.
+
+Defined results: a null, empty or blank text has too few words and goes in the first stage.  Rows are told
+apart by id and text, so rows of one id, or of none, stay unless their texts are alike; of rows that agree in both, and of
+a group of near copies, one stays (the least id, then the least hash of its text; a null id after others).  Shares equal to a
+threshold are as their stage defines them.  Very long texts are read whole in every stage.  An empty table gives no rows in each
+stage.  Columns other than ``doc_id`` and ``text`` are carried as they are up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
