@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import grid
 from tidemark.operators.clusters import disks
 
-#: Place, resolution and address as published in documentations of the index and of engines that offer it.
+#: Place, resolution and address, as remembered from public documentation of the index and of engines that offer it.
 KNOWN = [
     (37.775938728915946, -122.41795063018799, 9, "8928308280fffff"), (37.3615593, -122.0553238, 7, "87283472bffffff"), (40.689167, -74.044444, 10, "8a2a1072b59ffff"),
     (-3.7038, 40.4168, 4, "847b59dffffffff"), (45.0, 100.0, 6, "86240610fffffff"), (52.516262, 13.377704, 8, "881f1d4887fffff"),
     (-57.9446762, -142.6384407, 5, "85e35e73fffffff"), (37.345793375368, -121.97637597255124, 5, "85283473fffffff"), (37.5012466151, -122.5003039349, 9, "8928342e20fffff"),
 ]
-#: Centre as published.
+#: Centres, likewise.
 CENTRES = {"85283473fffffff": (37.345793375368, -121.97637597255124), "8928342e20fffff": (37.5012466151, -122.5003039349)}
 
 
