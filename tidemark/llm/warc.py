@@ -117,11 +117,16 @@ def read_archive(spark: SparkSession, path: str, max_broadcast: int = BROADCAST_
     return both.select("page_id", "header", body.alias("payload"), "address")
 
 
-def warc_records(records: DataFrame) -> DataFrame:
-    """``page_id`` and ``record``: the bytes of each WARC record, as a .warc file holds them."""
+def _record() -> Column:
+    """The bytes of a record from its ``header`` and ``payload``; a revisit has no body."""
     end = F.encode(F.lit(CRLF), "utf-8")
     body = F.when(F.col("header").contains("WARC-Type: revisit"), F.encode(F.lit(""), "utf-8")).otherwise(F.col("payload"))
-    return records.select("page_id", F.concat(F.encode("header", "utf-8"), end, body, end, end).alias("record"))
+    return F.concat(F.encode("header", "utf-8"), end, body, end, end)
+
+
+def warc_records(records: DataFrame) -> DataFrame:
+    """``page_id`` and ``record``: the bytes of each WARC record, as a .warc file holds them."""
+    return records.select("page_id", _record().alias("record"))
 
 
 def _field(name: str) -> Column:
@@ -129,8 +134,8 @@ def _field(name: str) -> Column:
 
 
 def index(spark: SparkSession, path: str, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
-    """What the rebuilt records say of themselves, and what their payloads are."""
-    back = read_archive(spark, path, max_broadcast)
+    """What the records say of themselves, what their payloads are, and a digest of each record as it was put together again."""
+    back = read_archive(spark, path, max_broadcast).withColumn("record", _record())
     ref = F.regexp_extract(_field("WARC-Refers-To"), r"^<urn:page:(.*)>$", 1)
     return back.select(
         "page_id",
@@ -139,6 +144,8 @@ def index(spark: SparkSession, path: str, max_broadcast: int = BROADCAST_BYTES)
         _field("WARC-Type").alias("record_type"),
         F.when(ref != "", ref).cast(back.schema["page_id"].dataType).alias("refers_to"),
         F.upper(F.sha1("payload")).alias("payload_sha1_hex"),
+        F.octet_length("record").cast("long").alias("record_bytes"),
+        F.sha2("record", 256).alias("record_sha256"),
     )
 
 
@@ -150,18 +157,24 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Base32 of a digest: its hex, five characters for every four hex digits of 20 bits.
-SQL = r"""
+_LINE = lambda name, value: f"'{name}: ' || {value} || chr(13) || chr(10)"
+SQL = rf"""
 WITH p AS (
-  SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+  SELECT page_id, url, encode(coalesce(html, '')) AS b FROM pages
 ), h AS (
-  SELECT page_id, octet_length(b) AS n, sha1(b) AS s, max(page_id) OVER (PARTITION BY sha256(b)) AS last FROM p
+  SELECT page_id, url, b, octet_length(b) AS n, sha1(b) AS s, max(page_id) OVER (PARTITION BY sha256(b)) AS last FROM p
 ), c AS (
-  SELECT *, list_transform(range(0, 32), lambda i:
+  SELECT *, page_id = last AS whole, array_to_string(list_transform(range(0, 32), lambda i:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-      CAST(((CAST('0x' || substr(s, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)) AS d FROM h
+      CAST(((CAST('0x' || substr(s, CAST((i // 4) * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '') AS d FROM h
+), r AS (
+  SELECT *, encode('WARC/1.1' || chr(13) || chr(10) || {_LINE("WARC-Type", "CASE WHEN whole THEN 'response' ELSE 'revisit' END")} || {_LINE("WARC-Record-ID", "'<urn:page:' || page_id || '>'")}
+    || {_LINE("WARC-Date", f"'{DATE}'")} || {_LINE("WARC-Target-URI", "replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A')")} || {_LINE("WARC-Payload-Digest", "'sha1:' || d")}
+    || CASE WHEN whole THEN '' ELSE {_LINE("WARC-Refers-To", "'<urn:page:' || last || '>'")} || {_LINE("WARC-Profile", "'http://netpreserve.org/warc/1.1/revisit/identical-payload-digest'")} END
+    || {_LINE("Content-Type", "'text/html; charset=utf-8'")} || {_LINE("Content-Length", "CASE WHEN whole THEN n ELSE 0 END")} || chr(13) || chr(10))
+    || CASE WHEN whole THEN b ELSE encode('') END || encode(chr(13) || chr(10) || chr(13) || chr(10)) AS record FROM c
 )
-SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, array_to_string(d, '') AS payload_digest,
-  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to, upper(s) AS payload_sha1_hex
-FROM c
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest, CASE WHEN whole THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN whole THEN NULL ELSE last END AS refers_to, upper(s) AS payload_sha1_hex, CAST(octet_length(record) AS BIGINT) AS record_bytes, sha256(record) AS record_sha256
+FROM r
 """
