@@ -18,11 +18,14 @@ def disks(cells: DataFrame, resolution: int, k: int) -> DataFrame:
     if k < 2:
         return cells.select("h3_cell", F.explode_outer(grid.disk(F.col("h3_cell"), resolution, k)).alias("near"))
     around = grid.near_pentagon(F.col("h3_cell"), resolution, k)
-    flat = cells.where(~around).select("h3_cell", F.explode_outer(grid.disk(F.col("h3_cell"), resolution, k)).alias("near"))
+    flat = lambda c: c.select("h3_cell", F.explode_outer(grid.disk(F.col("h3_cell"), resolution, k)).alias("near"))
+    # Hardly a set of cells has any near the twelve: then the plan is spared what grows rings.
+    if cells.where(around).isEmpty():
+        return flat(cells)
     grown = cells.where(around).select("h3_cell", F.col("h3_cell").alias("near"))
     for _ in range(k):
         grown = grown.select("h3_cell", F.explode_outer(grid.disk(F.col("near"), resolution, 1)).alias("near")).distinct()
-    return flat.unionByName(grown)
+    return flat(cells.where(~around)).unionByName(grown)
 
 
 def adjacency(cells: DataFrame, resolution: int, k: int = 1) -> DataFrame:
