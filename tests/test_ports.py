@@ -161,6 +161,57 @@ def test_nearest_city_over_the_whole_globe(spark, n):
     assert {r["k"]: (round(r["nearest_city_dist_km"], 6), r["nearest_city"]) for r in got.collect()} == want
 
 
+def _most_rows(spark, run) -> int:
+    """The most rows that any step of the plans makes that ``run`` starts."""
+    sc, store = spark.sparkContext._jsc.sc(), spark._jsparkSession.sharedState().statusStore()
+    sc.listenerBus().waitUntilEmpty()
+    before = store.executionsCount()
+    run()
+    sc.listenerBus().waitUntilEmpty()
+    runs, most = store.executionsList(), 0
+    for i in range(before, runs.size()):
+        values, nodes = store.executionMetrics(runs.apply(i).executionId()), store.planGraph(runs.apply(i).executionId()).allNodes()
+        for metrics in (nodes.apply(k).metrics() for k in range(nodes.size())):
+            made = [m.accumulatorId() for m in (metrics.apply(j) for j in range(metrics.size())) if m.name() == "number of output rows"]
+            most = max([most, *(int(values.apply(a).replace(",", "")) for a in made if values.contains(a))])
+    return most
+
+
+def test_nearest_city_meets_few_cities_where_they_are_dense(spark, monkeypatch):
+    """A dense coast, places far around it, and rims of places and cities about a pole: no step makes a row for each pair."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    n = 1500
+    coast = lambda s: (np.round(53 + rng.random(n) * s, 5), np.round(9 + rng.random(n) * s, 5))
+    rim = lambda lat: (np.full(n, lat), np.round(np.linspace(-180, 180, n, endpoint=False), 3))
+    clat, clon = (np.concatenate(v) for v in zip(coast(0.2), rim(80.0), strict=True))
+    plat, plon = (np.concatenate(v) for v in zip(coast(0.2), coast(9.0), rim(85.0), strict=True))
+    gaz = spark.createDataFrame([(f"c{i:04}", "a", "XX", float(a), float(b)) for i, (a, b) in enumerate(zip(clat, clon, strict=True))], "name string, admin1 string, cc string, lat double, lon double")
+    places = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(plat, plon, strict=True))], "k int, la double, lo double")
+    got = []
+    most = _most_rows(spark, lambda: got.extend(enrich.nearest_city(places, gaz, "k", "la", "lo").collect()))
+    assert most <= 30 * 3 * n, most  # pairs of cubes; one by one, the rims alone are n * n
+    met, compared = [], enrich._compared
+    most_met = lambda c, pairs, level: pairs.join(c.withColumn("c", enrich._cube(level)), "c").groupBy("p").count().agg(F.max("count")).first()[0]
+    monkeypatch.setattr(enrich, "_compared", lambda p, c, pairs, level: met.append(most_met(c, pairs, level)) or compared(p, c, pairs, level))
+    enrich.nearest_city(places, gaz, "k", "la", "lo")
+    assert max(met) <= enrich.CITIES
+    a, b = np.radians(plat)[:, None], np.radians(clat)[None, :]
+    h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin(np.radians(clon[None, :] - plon[:, None]) / 2) ** 2
+    want = np.round(12742.0 * np.arcsin(np.sqrt(h)), 6)
+    assert len(got) == 3 * n
+    assert all(abs(r["nearest_city_dist_km"] - want[r["k"]].min()) < 2e-6 and abs(want[r["k"], int(r["nearest_city"][1:])] - want[r["k"]].min()) < 2e-6 for r in got)
+
+
+def test_nearest_city_of_equal_places_and_without_numbers(spark):
+    gaz = [("b", "2", "XX", 10.0, 20.0), ("b", "1", "YY", 10.0, 20.0), ("c", "a", "XX", 10.0, 22.0), ("a", "a", "XX", float("nan"), 1.0), ("0", "a", "XX", None, 1.0)]
+    gaz = spark.createDataFrame(gaz, "name string, admin1 string, cc string, lat double, lon double")
+    places = spark.createDataFrame([(1, 10.0, 21.0), (2, 10.0, 21.0), (3, 10.0, 381.0), (4, float("nan"), 0.0), (5, None, 0.0), (6, 10.0, 21.5)], "k int, la double, lo double")
+    got = {r["k"]: (r["nearest_city"], r["admin1"]) for r in enrich.nearest_city(places, gaz, "k", "la", "lo").collect()}
+    assert got == {1: ("b", "1"), 2: ("b", "1"), 3: ("b", "1"), 4: ("a", "a"), 6: ("c", "a")}
+
+
 def test_centroids_are_of_whole_geometries_and_per_feature(spark, tmp_path):
     box = lambda x, y, s: [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
     shapes = [

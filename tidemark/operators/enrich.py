@@ -4,87 +4,111 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.config import CellConfig, EnrichConfig
+from tidemark.functions.columns import let
 from tidemark.functions.geo import haversine_meters
 from tidemark.operators.polygons import add_polygons
-from tidemark.session import materialise
+from tidemark.session import counted, materialise
 
-#: Bucket sizes in degrees, tried in turn.  Places that no find is sure for are left to ``_far``, in buckets of the last size.
-LEVELS = (1.0, 6.0)
-METERS_PER_DEGREE = 111_200.0
+#: Cubes of the first round have an edge of 2 / 2 ** FIRST earth radii (fewer than 400 of them meet the globe), those of the last of 6 m.
+FIRST, LAST = 3, 21
+#: A cube's places are compared with its cities one by one once it has no more of them than this.
+CITIES = 96
+#: Square of a distance in earth radii, far above what rounding can make of equal distances: whatever comes so close to the nearest is compared by its distance in metres.
+SLACK = 1e-12
+AXES = ("x", "y", "z")
 
 
-def _bucketed(df: DataFrame, lat: str, lon: str, size: float, y: str, x: str) -> DataFrame:
-    n = max(1, int(360 // size))
-    at = lambda c, low: F.floor((F.col(c) + low) / size).cast("int")
-    return df.withColumns({y: at(lat, 90.0), x: F.pmod(at(lon, 180.0), F.lit(n))})
+def _located(df: DataFrame) -> DataFrame:
+    """Rows whose ``lat`` and ``lon`` are numbers, with their place in space; the globe has radius 1."""
+    lat, lon = F.radians("lat"), F.radians("lon")
+    out = df.withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})
+    return out.where("NOT isnan(x) AND NOT isnan(y) AND NOT isnan(z)")
 
 
-def _best(both: DataFrame) -> DataFrame:
-    dist = haversine_meters(F.col("_lat"), F.col("_lon"), F.col("_c_lat"), F.col("_c_lon"))
-    pick = F.min(F.struct(dist.alias("m"), "_c_name", "_c_admin1", "_c_cc", "_c_lat", "_c_lon")).alias("x")
-    return both.groupBy("_key", "_lat").agg(pick)
+def _cube(level: int) -> Column:
+    """The number of the cube with edge ``2 / 2 ** level`` that holds ``x, y, z``."""
+    n = 1 << level
+    at = [F.least(F.floor((F.col(a) + 1.0) * (n / 2)), F.lit(n - 1)) for a in AXES]
+    return (at[0] * n + at[1]) * n + at[2]
 
 
-def _far(todo: DataFrame, gaz: DataFrame, size: float) -> DataFrame:
-    """The nearest city of places whose neighbouring buckets hold none for sure.
+def _cubes(points: DataFrame, level: int, tag: str) -> DataFrame:
+    """The cubes that hold points: number, the number of the one around, how many points, and the box that they fill."""
+    box = [f(a).alias(f"{tag}_{name}_{a}") for a in AXES for f, name in ((F.min, "low"), (F.max, "high"))]
+    return points.groupBy(_cube(level).alias(tag), _cube(level - 1).alias(f"{tag}_up")).agg(F.count("*").alias(f"{tag}_n"), *box)
 
-    Which buckets can hold it is found for whole buckets first, of which the globe has
-    ``180 / size * 360 / size``, whatever the tables' size: no point of a bucket is
-    farther than 3/4 ``size`` from its centre, so buckets beyond the closest one's
-    distance and four times that are out.  Places then meet the cities of few buckets.
+
+def _reachable(pairs: DataFrame) -> DataFrame:
+    """Pairs of a cube of places and one of cities that can hold the nearest city of one of the places; ``cities``: how many a cube of places has.
+
+    No city of a cube is nearer than the gap between the boxes, none is farther than their
+    far corners, and the least such far distance is one that every place has a city within.
     """
-    todo, gaz = _bucketed(todo, "_lat", "_lon", size, "_py", "_px"), _bucketed(gaz, "_c_lat", "_c_lon", size, "_by", "_bx")
-    rows, columns = int(180 // size), int(360 // size)
-    grid = todo.select("_py", "_px").distinct().withColumn("_y", F.explode(F.sequence(F.lit(0), F.lit(rows)))).withColumn("_x", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
-    used = gaz.select(F.col("_by").alias("_y"), F.col("_bx").alias("_x")).distinct()
-    mid = lambda c, low: F.least(F.col(c) * size + size / 2 - low, F.lit(low))
-    apart = haversine_meters(mid("_py", 90.0), mid("_px", 180.0), mid("_y", 90.0), mid("_x", 180.0))
-    reach = grid.join(used, ["_y", "_x"]).withColumn("_d", apart)
-    least = reach.groupBy(F.col("_py").alias("_ly"), F.col("_px").alias("_lx")).agg(F.min("_d").alias("_least"))
-    reach = reach.join(least, (F.col("_py") == F.col("_ly")) & (F.col("_px") == F.col("_lx")))
-    reach = reach.where(F.col("_d") <= F.col("_least") + 3 * size * METERS_PER_DEGREE).select("_py", "_px", "_y", "_x")
-    both = todo.join(reach, ["_py", "_px"]).join(gaz, (F.col("_y") == F.col("_by")) & (F.col("_x") == F.col("_bx")))
-    return _best(both)
-
-
-def nearest_city(places: DataFrame, cities: DataFrame, key: str, lat: str, lon: str, levels=LEVELS) -> DataFrame:
-    """The nearest of ``cities`` (``name, admin1, cc, lat, lon``) for every place; ties go to the least name.
-
-    An equi join on buckets, 3 by 3 around a place.  A find is final if it is no
-    farther than the buckets surely reach; other places go on to larger buckets,
-    and what is left then is compared with the cities of the buckets that can hold
-    its nearest.  With an empty gazetteer, all city columns are null.
+    p, c = (lambda name, a, t=t: F.col(f"{t}_{name}_{a}") for t in "pc")
+    gaps = [F.greatest(c("low", a) - p("high", a), p("low", a) - c("high", a), F.lit(0.0)) for a in AXES]
+    spans = [F.greatest(c("high", a) - p("low", a), p("high", a) - c("low", a)) for a in AXES]
+    square = lambda v: reduce(lambda s, d: s + d, [d * d for d in v])
+    mine = Window.partitionBy("p")
+    kept = pairs.select("p", "c", "c_n", square(gaps).alias("gap"), F.min(square(spans)).over(mine).alias("far")).where(F.col("gap") <= F.col("far") + SLACK)
+    return kept.select("p", "c", F.sum("c_n").over(mine).alias("cities"))
+
+
+def _compared(places: DataFrame, cities: DataFrame, pairs: DataFrame, level: int) -> DataFrame:
+    """For each place, the cities of its cube's partners that are nearest or so close to it that rounding decides."""
+    near = pairs.join(cities.withColumn("c", _cube(level)), "c").groupBy("p").agg(F.collect_list(F.struct(*AXES, "lat", "lon")).alias("near"))
+    # The greater the product of two places, the nearer they are: half their distance's square is missing to 1.
+    product = lambda c: reduce(lambda s, d: s + d, [F.col(a) * c[a] for a in AXES])
+    measured = F.transform("near", lambda c: F.struct(product(c).alias("dot"), c["lat"].alias("lat"), c["lon"].alias("lon")))
+    best = lambda m: let(F.array_max(m["dot"]), lambda top: F.filter(m, lambda c: c["dot"] >= top - SLACK / 2))
+    found = places.withColumn("p", _cube(level)).join(near, "p").select("lat", "lon", F.explode(let(measured, best)).alias("c"))
+    return found.select("lat", "lon", F.col("c.lat").alias("c_lat"), F.col("c.lon").alias("c_lon"))
+
+
+def nearest_city(places: DataFrame, cities: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
+    """The nearest of ``cities`` (``name, admin1, cc, lat, lon``) for every place with coordinates; ties go to the least name.
+
+    Places and cities are put into cubes of space, which have neither poles nor a date
+    line, and pairs of cubes that cannot hold a nearest city are dropped.  Cubes of
+    places with many cities left are halved along each edge, and so are their partners,
+    until few cities are left; only then are places and cities compared.  So a place
+    meets some ``CITIES``, however many there are and however dense they lie.
+    Equal places are one, and of cities at one place the least name stands for all.
+    Where no distance is a number, all are taken as equal.  With an empty gazetteer, there are no rows.
     """
-    want = places.select(F.col(key).alias("_key"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
-    todo, done = want.where("_lat IS NOT NULL AND _lon IS NOT NULL"), []
-    plain = cities.select(*[F.col(c).alias(f"_c_{c}") for c in ("name", "admin1", "cc", "lat", "lon")])
-    for size in levels:
-        n = max(1, int(360 // size))
-        gaz = _bucketed(plain, "_c_lat", "_c_lon", size, "_by", "_bx")
-        around = [(y, x) for y in (-1, 0, 1) for x in (-1, 0, 1)]
-        step = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y, x in around]))
-        near = _bucketed(todo, "_lat", "_lon", size, "_py", "_px").withColumn("_s", step)
-        near = near.withColumns({"_py": F.col("_py") + F.col("_s.y"), "_px": F.pmod(F.col("_px") + F.col("_s.x"), F.lit(n))})
-        best = _best(near.join(gaz, (F.col("_py") == F.col("_by")) & (F.col("_px") == F.col("_bx"))))
-        # The shorter way out of the buckets: north and south, or east and west at the higher latitude of the two.
-        reach = F.cos(F.radians(F.least(F.abs("_lat") + size, F.lit(90.0)))) * size * 111_000.0
-        sure = materialise(best.where(F.col("x.m") <= reach).select("_key", "x.*"), "nearest")
-        done.append(sure)
-        todo = todo.join(sure.select("_key"), "_key", "left_anti")
-    done.append(_far(todo, plain, levels[-1]).select("_key", "x.*"))
-    return reduce(DataFrame.unionByName, done).select(
+    want = places.select(F.col(key).alias("_key"), F.col(lat).alias("lat"), F.col(lon).alias("lon")).where("lat IS NOT NULL AND lon IS NOT NULL")
+    known = cities.where("lat IS NOT NULL AND lon IS NOT NULL").groupBy("lat", "lon").agg(F.min(F.struct("name", "admin1", "cc")).alias("city"))
+    spots = materialise(_located(want.select("lat", "lon").distinct()), "spots")
+    known = materialise(known, "cities")
+    towns = materialise(_located(known.select("lat", "lon")), "towns")
+    pairs, found = _cubes(spots, FIRST, "p").crossJoin(F.broadcast(_cubes(towns, FIRST, "c"))), []
+    for level in range(FIRST, LAST + 1):
+        pairs, left = counted(_reachable(pairs), "reachable", total=f"count_if(cities > {CITIES})")
+        done = pairs.where(F.col("cities") <= CITIES) if level < LAST else pairs
+        if not left or not done.isEmpty():
+            found.append(_compared(spots, towns, done.select("p", "c"), level))
+        if not left or level == LAST:
+            break
+        up = pairs.where(F.col("cities") > CITIES).select(F.col("p").alias("p_up"), F.col("c").alias("c_up"))
+        pairs = up.join(_cubes(towns, level + 1, "c"), "c_up").join(_cubes(spots, level + 1, "p"), "p_up")
+    m = haversine_meters(F.col("lat"), F.col("lon"), F.col("c_lat"), F.col("c_lon"))
+    named = known.select(F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"), "city")
+    close = reduce(DataFrame.unionByName, found).withColumn("m", m).join(named, ["c_lat", "c_lon"])
+    best = close.groupBy("lat", "lon").agg(F.min(F.struct("m", "city", "c_lat", "c_lon")).alias("b"))
+    least = known.agg(F.min(F.struct(F.lit(float("nan")).alias("m"), "city", F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))).alias("least")).where("least IS NOT NULL")
+    all_ = want.join(best, ["lat", "lon"], "left").crossJoin(F.broadcast(least)).withColumn("b", F.coalesce("b", "least"))
+    return all_.select(
         F.col("_key").alias(key),
-        F.col("_c_cc").alias("country_iso2"),
-        F.col("_c_name").alias("nearest_city"),
-        F.col("_c_lat").alias("nearest_city_lat"),
-        F.col("_c_lon").alias("nearest_city_lon"),
-        (F.col("m") / 1000.0).alias("nearest_city_dist_km"),
-        F.col("_c_admin1").alias("admin1"),
+        F.col("b.city.cc").alias("country_iso2"),
+        F.col("b.city.name").alias("nearest_city"),
+        F.col("b.c_lat").alias("nearest_city_lat"),
+        F.col("b.c_lon").alias("nearest_city_lon"),
+        (F.col("b.m") / 1000.0).alias("nearest_city_dist_km"),
+        F.col("b.city.admin1").alias("admin1"),
     )
 
 
